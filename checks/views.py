@@ -16,7 +16,11 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
-TEXT_TABLES = ("documents", "pages", "conversations")
+# The given files hold one row group each, which one task has to read.
+SPREAD_BY = {
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id", "pages": "page_id",
+    "conversations": "conv_id",
+}
 
 VIEWS: dict[str, str] = {
     "market_trends": """
@@ -109,10 +113,15 @@ VIEWS: dict[str, str] = {
         FROM {conversations} WHERE role = 'user'""",
 }
 
+_OPEN: dict[tuple[str, str, str], DataFrame] = {}  # lazy frames; saves reading footers again
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_small(df) if name in TEXT_TABLES else df
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _OPEN:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _OPEN[key] = spread_small(df, SPREAD_BY[name]) if name in SPREAD_BY else df
+    return _OPEN[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -46,12 +46,16 @@ def skew_join(
     *,
     left_spread: Sequence[str],
     right_spread: Sequence[str] | None = None,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join whose heavy left keys are spread over several tasks.
 
     Rows of a heavy left key get a slot from the hash of ``left_spread``; the matching right
     rows are copied to each slot. With ``right_spread`` (inner joins only) heavy right keys
     are split as well, which makes a grid of slots for keys that are heavy on both sides.
+    ``left_keys`` / ``right_keys`` may name a cheaper frame with the same spread of keys, so
+    that a derived side is not computed twice to count them.
     Slots come from stored columns, so a recomputed task gives the same rows. A right side
     that Spark will broadcast needs none of this: then nothing is shuffled by key.
     """
@@ -68,14 +72,14 @@ def skew_join(
     def slot(cols: Sequence[str], splits: str) -> Column:
         return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col(splits)).cast("int")
 
-    heavy_left = _heavy_keys(left, on, width, root)
+    heavy_left = _heavy_keys(left if left_keys is None else left_keys, on, width, root)
     lhs = _with_splits(left, heavy_left, on, "_ls")
     rhs = _with_splits(right, heavy_left, on, "_ls")
     lhs = lhs.withColumn("_li", slot(left_spread, "_ls"))
     rhs = rhs.withColumn("_li", F.explode(F.sequence(F.lit(0), F.col("_ls") - 1))).drop("_ls")
     keys = [*on, "_li"]
     if right_spread:
-        heavy_right = _heavy_keys(right, on, width, root)
+        heavy_right = _heavy_keys(right if right_keys is None else right_keys, on, width, root)
         lhs = _with_splits(lhs, heavy_right, on, "_rs")
         rhs = _with_splits(rhs, heavy_right, on, "_rs")
         lhs = lhs.withColumn("_ri", F.explode(F.sequence(F.lit(0), F.col("_rs") - 1))).drop("_rs")

@@ -58,10 +58,10 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def spread_small(df: DataFrame, bytes_per_task: int = 32 << 20) -> DataFrame:
-    """Use all cores for a text table that is too small to be split into enough tasks.
+def spread_small(df: DataFrame, key: str, bytes_per_task: int = 32 << 20) -> DataFrame:
+    """Use all cores for a table that is too small to be split into enough tasks.
 
     Tables with at least ``bytes_per_task`` for every core are returned as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_task else df
+    return df.repartition(cores, key) if plan_bytes(df) < cores * bytes_per_task else df
