@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import silver
+from . import silver, texts
 
-QUERIES = {**silver.QUERIES}
+QUERIES = {**silver.QUERIES, **texts.QUERIES}
