@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import silver, texts
+from . import ranking, silver, texts
 
-QUERIES = {**silver.QUERIES, **texts.QUERIES}
+QUERIES = {**silver.QUERIES, **texts.QUERIES, **ranking.QUERIES}
