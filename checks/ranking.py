@@ -280,7 +280,6 @@ CITED_SQL = """
 
 
 def _gold(spark, d):
-    text = with_views("SELECT * FROM gold_rows", **CTES)
     line = table(spark, d, "lineitem")
     return spark.sql(CTES["gold_rows"].replace("FROM lineitem", "FROM {lineitem}"), lineitem=line)
 

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import ranking, silver, texts
+from . import ranking, retrieval, silver, texts
 
-QUERIES = {**silver.QUERIES, **texts.QUERIES, **ranking.QUERIES}
+QUERIES = {**silver.QUERIES, **texts.QUERIES, **ranking.QUERIES, **retrieval.QUERIES}
