@@ -8,6 +8,7 @@ from ledgerlens.operators import evaluation as V
 from ledgerlens.operators import search as S
 from ledgerlens.operators import vectors as D
 from ledgerlens.operators.embedding import hash_embedding
+from ledgerlens.session import durable
 from ledgerlens.plans.answering import answer_queries, find_companies, query_outputs
 
 from .views import table, view, with_views
@@ -154,7 +155,8 @@ def sql(text: str) -> str:
 def _index(spark, d, vectors=False, fields=()):
     corpus = view(spark, d, "corpus")
     if vectors:
-        corpus = corpus.withColumn("embedding", hash_embedding(F.col("chunk_text")))
+        # The vectors of a real index are stored; here they are written once per query.
+        corpus = durable(corpus.withColumn("embedding", hash_embedding(F.col("chunk_text"))))
     return S.build_index(
         corpus, text_col="chunk_text", vector="embedding" if vectors else None, fields=fields
     )
@@ -188,6 +190,11 @@ def retrieve(mode: str):
     return lambda s, d: S.retrieve(_queries(s, d, vectors), _index(s, d, vectors), K, mode=mode)
 
 
+def full_text_joined(spark, d):
+    """The join that takes over when the query terms are too many to be sent to all tasks."""
+    return S.full_text_topk(_queries(spark, d), _index(spark, d), K, max_terms=0)
+
+
 def term_stats(spark, d):
     lexical = S.lexical_rows(view(spark, d, "corpus"), "chunk_text")
     posted = S.postings(lexical)
@@ -279,6 +286,7 @@ QUERIES = {
                FROM postings GROUP BY 1"""),
     ),
     "full_text_topk": (retrieve("FULL_TEXT"), sql("SELECT * FROM full_text")),
+    "full_text_topk_joined": (full_text_joined, sql("SELECT * FROM full_text")),
     "dense_topk": (dense(), sql("SELECT * FROM prototype_hits")),
     "dense_topk_sharded": (dense(query_bytes=2048, shard_rows=100), sql("SELECT * FROM prototype_hits")),
     "dense_topk_text": (retrieve("DENSE"), sql("SELECT * FROM dense")),
