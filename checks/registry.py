@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-from . import ranking, retrieval, silver, texts
+from . import flows, ranking, retrieval, silver, texts
 
-QUERIES = {**silver.QUERIES, **texts.QUERIES, **ranking.QUERIES, **retrieval.QUERIES}
+QUERIES = {
+    **silver.QUERIES, **texts.QUERIES, **ranking.QUERIES, **retrieval.QUERIES, **flows.QUERIES,
+}

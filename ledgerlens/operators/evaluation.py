@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
-from ..sources.replica import require_columns
+from ..sources.replica import read_csv, require_columns
 from .skew import ordered_rank
 
 REQUIRED = ("query_id", "query_text", "relevant_chunk_id", "relevance_label")
 
 
+def read_judgments(spark: SparkSession, path: str) -> DataFrame:
+    """Judgment rows of a CSV file with ``row_no`` in file order."""
+    return read_csv(spark, path, REQUIRED).withColumn("row_no", F.monotonically_increasing_id())
+
+
 def _clean(name: str) -> Column:
     return strip_ws(F.coalesce(F.col(name).cast("string"), F.lit("")))
 

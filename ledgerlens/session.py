@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,13 +36,11 @@ def broadcast_bytes(spark: SparkSession) -> int:
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder so that lost executors cost no recompute.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,6 +49,17 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="ledgerlens-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder of its own, not yet made, below the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder, so that lost executors cost no recompute of it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
