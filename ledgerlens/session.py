@@ -32,8 +32,7 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def broadcast_bytes(spark: SparkSession) -> int:
     """Spark's own bound for broadcast sides; -1 when broadcasting is off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def shared_folder(spark: SparkSession) -> str:
