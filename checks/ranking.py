@@ -9,6 +9,8 @@ from ledgerlens.operators import evaluation as V
 from ledgerlens.operators import ranking as K
 from ledgerlens.operators import results as C
 
+from ledgerlens.session import durable
+
 from .views import table, view, with_views
 
 CTES = {
@@ -120,11 +122,12 @@ def sql(text: str) -> str:
 
 
 def _arrived(spark, d):
-    return K.arrival_hits(view(spark, d, "logged_hits"))
+    return durable(K.arrival_hits(view(spark, d, "logged_hits")))
 
 
 def _deduped(spark, d, limit=None):
-    return K.dedupe_best(_arrived(spark, d), limit=limit)
+    """Deduplicated lists, written once because the steps after them read them several times."""
+    return durable(K.dedupe_best(_arrived(spark, d), limit=limit))
 
 
 HIT = ("query_id", "pos", "chunk_id", "score", "parent", "chunk_index", "chunk_text")
@@ -289,8 +292,7 @@ def judgments(spark, d):
 
 
 def _evaluated(spark, d):
-    hits = K.dedupe_best(_arrived(spark, d))
-    return V.evaluate(hits, _gold(spark, d), split="dev")
+    return V.evaluate(_deduped(spark, d), _gold(spark, d), split="dev")
 
 
 def per_query(spark, d):
@@ -311,7 +313,9 @@ COLS = "query_id, pos, chunk_id, score, parent, chunk_index, chunk_text"
 
 QUERIES = {
     "arrival_hits": (lambda s, d: _arrived(s, d).select(*[c for c in HIT]), sql(f"SELECT {COLS} FROM arrived")),
-    "dedupe_best": (lambda s, d: _deduped(s, d).select(*HIT), sql(f"SELECT {COLS} FROM deduped")),
+    "dedupe_best": (
+        lambda s, d: K.dedupe_best(_arrived(s, d)).select(*HIT), sql(f"SELECT {COLS} FROM deduped"),
+    ),
     "collapse_parents": (
         lambda s, d: K.collapse_parents(_deduped(s, d)).select(*HIT), sql(f"SELECT {COLS} FROM collapsed"),
     ),

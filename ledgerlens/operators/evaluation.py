@@ -73,14 +73,16 @@ def per_query_metrics(
     hits: DataFrame, queries: DataFrame, judged: DataFrame, *, k: int = 10, threshold: int = 2
 ) -> DataFrame:
     """One row per judged query; a query without hits or without positive labels scores 0."""
-    counted = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("_hits"))
-    relevant = F.col("label") >= threshold
+    label = F.coalesce("label", F.lit(0))
+    top = F.col("pos") <= k
     actual = (
-        labelled_hits(hits, judged, k)
+        hits.select("query_id", "chunk_id", "pos")
+        .join(judged, ["query_id", "chunk_id"], "left")
         .groupBy("query_id")
         .agg(
-            F.sum(_gain(F.col("label"), F.col("pos"))).alias("_dcg"),
-            F.min(F.when(relevant, F.col("pos"))).alias("_first"),
+            F.count(F.lit(1)).alias("_hits"),
+            F.sum(F.when(top, _gain(label, F.col("pos")))).alias("_dcg"),
+            F.min(F.when(top & (label >= threshold), F.col("pos"))).alias("_first"),
         )
     )
     ideal = (
@@ -90,7 +92,7 @@ def per_query_metrics(
     )
     gold = judged.groupBy("query_id").agg(F.count(F.lit(1)).alias("_gold"))
     out = queries
-    for part in (counted, actual, ideal, gold):
+    for part in (actual, ideal, gold):
         out = out.join(part, "query_id", "left")
     zero = F.lit(0.0)
     return out.select(

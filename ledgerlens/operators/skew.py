@@ -98,29 +98,48 @@ def distinct_set(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Da
     return pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias(out))
 
 
+GROUP_ROWS = 1_000_000  # rows of one group that a single task may sort
+
+
 def ordered_rank(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str, limit: int | None = None
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    out: str,
+    limit: int | None = None,
+    *,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """1-based position of each row in its group.
 
     With ``limit`` only the first rows of each group are wanted and Spark prunes every task to
-    that many before the shuffle. Without it a group may be of any size: rows are range
+    that many before the shuffle. Without it groups are counted first, on ``sizes`` if a
+    cheaper frame with at least as many rows per group is at hand. While the largest one has
+    at most ``GROUP_ROWS`` rows a plain window ranks them; beyond that rows are range
     partitioned on (group, order), ranked inside each range, and shifted by the number of
     rows of the group in earlier ranges.
     """
     group = list(group)
+    w = Window.partitionBy(*group).orderBy(*order)
     if limit is not None:
-        w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= limit)
+    counted = (df if sizes is None else sizes).groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    if (counted.agg(F.max("_n")).first()[0] or 0) <= GROUP_ROWS:
+        return df.withColumn(out, F.row_number().over(w))
+    return _rank_by_ranges(df, group, order, out)
+
+
+def _rank_by_ranges(df: DataFrame, group: list[str], order: Sequence[Column], out: str) -> DataFrame:
     width = shuffle_width(df.sparkSession)
+    # Written once: the number of a range must not change between its uses.
     ranged = durable(
         df.repartitionByRange(width, *[F.col(c) for c in group], *order).withColumn(
             "_range", F.spark_partition_id()
         )
     )
-    sizes = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    per_range = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    offsets = per_range.select(
         *[F.col(c).alias(f"_g_{c}") for c in group],
         F.col("_range").alias("_r"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),

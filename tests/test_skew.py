@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import skew
 from ledgerlens.operators.skew import _heavy_keys, distinct_set, ordered_rank, skew_join
 
 
@@ -46,7 +47,9 @@ def test_left_join_cannot_split_the_right_side(sides):
         skew_join(*sides, ["k"], "left", left_spread=["a"], right_spread=["b"])
 
 
-def test_ordered_rank(sides):
+@pytest.mark.parametrize("group_rows", [0, 1_000_000])
+def test_ordered_rank(sides, monkeypatch, group_rows):
+    monkeypatch.setattr(skew, "GROUP_ROWS", group_rows)
     left, _ = sides
     w = Window.partitionBy("k").orderBy("a")
     want = sorted(map(tuple, left.select("k", "a", F.row_number().over(w)).na.fill("-").collect()))
