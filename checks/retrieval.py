@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import evaluation as V
 from ledgerlens.operators import search as S
 from ledgerlens.operators import vectors as D
+from ledgerlens.operators.context import ANSWER_HEAD
 from ledgerlens.operators.embedding import hash_embedding
+from ledgerlens.plans.answering import answer_queries, query_outputs
 from ledgerlens.session import durable
-from ledgerlens.plans.answering import answer_queries, find_companies, query_outputs
 
 from .views import table, view, with_views
 
@@ -148,6 +149,59 @@ CTES = {
 }
 
 
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# The whole flow: hybrid candidates, overlap scores, collapse, diversity, packing.
+CTES.update({
+    "plain_queries": r"""
+        SELECT query_id, trim(regexp_replace(query_text, '\s+', ' ', 'g')) AS query_text FROM text_queries""",
+    "p_hash": hashed("plain_queries", "query_id", "query_text"),
+    "dense50": cosine("p_hash", "c_hash", 50),
+    "full50": bm25("plain_queries", 50),
+    "candidates": """
+        SELECT query_id, chunk_id, score,
+               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS pos
+        FROM (SELECT query_id, chunk_id, round(sum(1.0 / (60 + hit_no)), 9) AS score
+              FROM (SELECT * FROM dense50 UNION ALL SELECT * FROM full50) GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) <= 50""",
+    "asked": f"SELECT query_id, list_distinct({TOKENS.format('query_text')}) AS a FROM plain_queries",
+    "rescored": """
+        SELECT c.query_id, c.chunk_id, c.pos, len(list_intersect(a, list_distinct(ts))) / len(a) AS s,
+               k.company_id, k.chunk_index, k.chunk_text
+        FROM candidates c JOIN asked USING (query_id) JOIN doc_tokens t ON t.chunk_id = c.chunk_id
+        JOIN corpus k ON k.chunk_id = c.chunk_id
+        QUALIFY row_number() OVER (PARTITION BY c.query_id ORDER BY s DESC, pos) <= 10""",
+    "placed10": """
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, pos) AS p FROM rescored""",
+    "distinct10": """
+        SELECT *, min(p) OVER (PARTITION BY query_id, company_id) AS p_first FROM placed10
+        QUALIFY row_number() OVER (PARTITION BY query_id, company_id, chunk_index ORDER BY s DESC, p) = 1""",
+    "collapsed10": """
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, p_first, r) AS p2
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id, company_id ORDER BY s DESC, p) AS r
+              FROM distinct10) WHERE r <= 6""",
+    "context10": """
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY p2) AS p3
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id, company_id ORDER BY p2) AS r3 FROM collapsed10)
+        WHERE r3 <= 3""",
+    "packed10": r"""
+        SELECT query_id, sum(n) + 2 * (count(*) - 1) AS n_context
+        FROM (SELECT query_id, n, sum(n) OVER (PARTITION BY query_id ORDER BY p3) AS used
+              FROM (SELECT query_id, p3, length(chunk_id) + 3
+                             + length(trim(regexp_replace(chunk_text, '\s+', ' ', 'g'))) AS n FROM context10))
+        WHERE used <= 14000 GROUP BY 1""",
+})
+ANSWERED_SQL = f"""
+    SELECT q.query_id, q.query_text AS normalized,
+           (SELECT CAST(count(*) AS INT) FROM candidates c WHERE c.query_id = q.query_id) AS n_candidates,
+           (SELECT string_agg(chunk_id, ',' ORDER BY p3) FROM context10 x WHERE x.query_id = q.query_id) AS chunks,
+           CAST(length({_lit(ANSWER_HEAD)}) + length('Question: Passages:') + 10 + length(q.query_text)
+             + coalesce(n_context, length('(none)')) AS INT) AS n_prompt
+    FROM plain_queries q LEFT JOIN packed10 USING (query_id)"""
+
+
 def sql(text: str) -> str:
     return with_views(text, **CTES)
 
@@ -250,7 +304,7 @@ def _answered(spark, d):
 def answered(spark, d):
     out = query_outputs(_answered(spark, d))
     return out.select(
-        "query_id", "normalized", "query_type", F.size("candidates").alias("n_candidates"),
+        "query_id", "normalized", F.size("candidates").alias("n_candidates"),
         F.array_join("chunks.chunk_id", ",").alias("chunks"), F.length("answer_prompt").alias("n_prompt"),
     )
 
@@ -293,7 +347,7 @@ QUERIES = {
     "probed_topk": (probed, None),
     "hybrid_topk": (retrieve("HYBRID"), sql("SELECT * FROM fused")),
     "filtered_rewrites": (rewrites, sql(REWRITES_SQL)),
-    "answer_queries": (answered, None),
+    "answer_queries": (answered, sql(ANSWERED_SQL)),
     "text_judgments": (judgments, sql("SELECT query_id, chunk_id, CAST(label AS INT) AS label FROM judged")),
     "text_search_metrics": (text_metrics, sql("SELECT * FROM text_metrics")),
 }

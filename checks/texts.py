@@ -83,7 +83,7 @@ CTES = {
         SELECT query_id, query_text, trim(regexp_replace(query_text, '\s+', ' ', 'g')) AS normalized
         FROM user_turns""",
     "vec_json": """
-        SELECT CAST(vec_id AS STRING) AS batch_id, label, list_slice(embedding, 1, 4) AS v FROM embeddings""",
+        SELECT CAST(vec_id AS STRING) AS batch_id, label, embedding AS v FROM embeddings""",
 }
 
 
@@ -269,7 +269,7 @@ def response_vectors(spark, d):
     """Vectors sent through each response layout and read back."""
     rows = table(spark, d, "embeddings").select(
         F.col("vec_id").cast("string").alias("batch_id"), "label",
-        F.slice("embedding", 1, 4).cast("array<double>").alias("v"),
+        F.col("embedding").cast("array<double>").alias("v"),
     )
     vec = F.to_json("v")
     kinds = [
