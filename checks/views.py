@@ -98,7 +98,7 @@ VIEWS: dict[str, str] = {
     # Logged hits: a query per supplier, a hit per line; ids and scores repeat.
     "logged_hits": """
         SELECT CAST(l_suppkey AS STRING) AS query_id, l_linenumber AS rewrite_no,
-               l_orderkey * 10000000 + l_partkey AS hit_no,
+               (l_orderkey * 10000000 + l_partkey) * 100 + CAST(l_quantity AS BIGINT) AS hit_no,
                CASE WHEN l_returnflag = 'A' AND l_discount > 0.095 THEN NULL
                     ELSE CAST(l_partkey AS STRING) END AS chunk_id,
                CAST(NULL AS DOUBLE) AS score,
