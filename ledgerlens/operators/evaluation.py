@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
-from ..sources.replica import read_csv, require_columns
+from ..sources.replica import read_csv, require_columns, require_rows
 from .skew import ordered_rank
 
 REQUIRED = ("query_id", "query_text", "relevant_chunk_id", "relevance_label")
@@ -132,8 +132,8 @@ def predictions(
 def evaluate(
     hits: DataFrame, judgments: DataFrame, *, k: int = 10, threshold: int = 2, split: str | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(per query, means, predictions) of hits against raw judgment rows."""
-    clean = clean_judgments(judgments, split)
+    """(per query, means, predictions) of hits against raw judgment rows; raises without any."""
+    clean = require_rows(clean_judgments(judgments, split), "judgments")
     queries, judged = judged_queries(clean), judged_chunks(clean)
     per_query = per_query_metrics(hits, queries, judged, k=k, threshold=threshold)
     return (

@@ -62,6 +62,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as a table and read back: unlike a checkpoint its columns are read singly."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a frame, in bytes."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -88,3 +88,10 @@ def test_missing_columns(spark, tmp_path):
     R.write_csv(spark.createDataFrame([("a",)], "query_id string"), str(tmp_path / "x"))
     with pytest.raises(ValueError, match="query_text"):
         V.read_judgments(spark, str(tmp_path / "x"))
+
+
+def test_no_usable_judgments(spark):
+    rows = spark.createDataFrame([("", "t", "c", "1")], ", ".join(f"{c} string" for c in V.REQUIRED))
+    hits = spark.createDataFrame([("q", 1, "c", "x")], "query_id string, pos int, chunk_id string, chunk_text string")
+    with pytest.raises(RuntimeError, match="no rows"):
+        V.evaluate(hits, rows)
