@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
+from ..session import durable
 from ..sources.replica import read_csv, require_columns, require_rows
 from .skew import ordered_rank
 
@@ -134,7 +135,8 @@ def evaluate(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(per query, means, predictions) of hits against raw judgment rows; raises without any."""
     clean = require_rows(clean_judgments(judgments, split), "judgments")
-    queries, judged = judged_queries(clean), judged_chunks(clean)
+    # Both are used several times below, and are far smaller than the judgment rows.
+    queries, judged = durable(judged_queries(clean)), durable(judged_chunks(clean))
     per_query = per_query_metrics(hits, queries, judged, k=k, threshold=threshold)
     return (
         per_query,
