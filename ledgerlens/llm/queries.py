@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
+from .decontamination import contamination
 from .url_reputation import Rule, filter_urls
 
 URL_RULES = (
@@ -31,6 +32,16 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words in every document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op7_url_filter": (op7_url_filter, sql.URL_FILTER),
+    "op9_decontamination": (op9_decontamination, sql.DECONTAMINATION),
 }

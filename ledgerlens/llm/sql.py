@@ -56,3 +56,33 @@ SELECT page_id, fit.host, path, rule,
                               THEN 'block' ELSE 'allow' END) AS verdict
 FROM fit LEFT JOIN named_p USING (host) WHERE place = 1
 """
+
+
+def _words(text: str) -> str:
+    return f"coalesce(regexp_extract_all(translate({text}, {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
+
+
+def contamination_ctes(documents: str) -> str:
+    """CTEs up to ``judged`` (rid, doc_id, n_words, n_hit, n_items, items, contaminated)."""
+    return f"""
+    d AS (SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS w FROM {documents}),
+    i AS (SELECT item_id, w, least(len(w), 13) AS k
+          FROM (SELECT item_id, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+    iw AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS win
+           FROM (SELECT item_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s FROM i)),
+    dw AS (SELECT rid, k, s, array_to_string(w[s:s + k - 1], ' ') AS win
+           FROM (SELECT rid, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s
+                 FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+    occ AS (SELECT DISTINCT rid, s, k, item_id FROM dw JOIN iw USING (k, win)),
+    hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(generate_series(s, s + k - 1)) AS p FROM occ) GROUP BY rid),
+    it AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM occ GROUP BY rid),
+    judged AS (
+      SELECT rid, doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+             coalesce(items, []) AS items, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+      FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid))"""
+
+
+DECONTAMINATION = f"""
+WITH {contamination_ctes("documents")}
+SELECT doc_id, n_words, n_hit, n_items, sha256(array_to_string(items, ',')) AS items_sha256, contaminated FROM judged
+"""
