@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .decontamination import contamination
+from .jaccard_join import similar_documents
 from .url_reputation import Rule, filter_urls
 
 URL_RULES = (
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; outcomes are the labels of the document that a url's path numbers."""
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
@@ -42,6 +48,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_url_filter": (op7_url_filter, sql.URL_FILTER),
     "op9_decontamination": (op9_decontamination, sql.DECONTAMINATION),
 }
