@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import sql
 from .decontamination import contamination
 from .jaccard_join import similar_documents
+from .suffix_dedup import remove_repeats
 from .url_reputation import Rule, filter_urls
 
 URL_RULES = (
@@ -47,8 +48,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document without its repeats."""
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.floor(F.length("spans") / 16).alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_url_filter": (op7_url_filter, sql.URL_FILTER),
     "op9_decontamination": (op9_decontamination, sql.DECONTAMINATION),
+    "op10_suffix_dedup": (op10_suffix_dedup, None),
 }
