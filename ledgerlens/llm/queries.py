@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .decontamination import contamination
+from .embedding_dedup import near_vectors
 from .jaccard_join import similar_documents
 from .suffix_dedup import remove_repeats
 from .url_reputation import Rule, filter_urls
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return similar_documents(table(spark, sf_dir, "documents"))
@@ -58,6 +64,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op5_embedding_dedup": (op5_embedding_dedup, sql.NEAR_VECTORS),
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_url_filter": (op7_url_filter, sql.URL_FILTER),
     "op9_decontamination": (op9_decontamination, sql.DECONTAMINATION),

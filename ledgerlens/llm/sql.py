@@ -86,3 +86,18 @@ DECONTAMINATION = f"""
 WITH {contamination_ctes("documents")}
 SELECT doc_id, n_words, n_hit, n_items, sha256(array_to_string(items, ',')) AS items_sha256, contaminated FROM judged
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    u AS (SELECT vec_id, label, len(e) AS dim, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e FROM v),
+    pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.dim = b.dim AND a.vec_id <> b.vec_id
+              WHERE list_dot_product(a.e, b.e) >= 0.98),
+    reach(id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, p.b FROM reach r JOIN pairs p ON r.other = p.a),
+    least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+    counts AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id
+"""
