@@ -9,17 +9,26 @@ from ledgerlens.session import new_folder, stored
 
 from .url_reputation import ascii_lower
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ASCII bytes that end a word, once A-Z are folded and before.
+BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BREAK_UNFOLDED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _parts(parts: Column) -> Column:
+    """A split text without the empty strings that a break at its ends leaves; empty for null."""
+    first = F.when(F.get(parts, F.lit(0)) == "", 1).otherwise(0)
+    last = F.when((F.size(parts) > first) & (F.element_at(parts, -1) == ""), 1).otherwise(0)
+    return F.coalesce(F.slice(parts, first + 1, F.size(parts) - first - last), F.array().cast("array<string>"))
 
 
 def words(text: Column) -> Column:
-    """Words of a text, A-Z lower-cased; an empty array for null."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """Words of a text, A-Z lower-cased."""
+    return F.transform(_parts(F.split(text, BREAK_UNFOLDED)), ascii_lower)
 
 
 def _loose_words(text: Column) -> Column:
     """As many words as ``words`` gives, folded further than A-Z: quicker, and equal where those are."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return _parts(F.split(F.lower(text), BREAK))
 
 
 def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
@@ -53,15 +62,17 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13,
     words and no hits; repeated rows and null doc_ids are judged row by row; items with null
     id or text have no windows; an empty benchmark leaves all counts 0. Other columns are not read.
 
-    The word counts of the corpus are summed before their shuffle. Document words meet the rarest
-    word of each window (Spark broadcasts that side where it is below its bound, and splits hot
+    Words of items are counted over all documents, summed before their shuffle. Document words meet
+    the rarest word of each window (Spark broadcasts that side where it is below its bound, and splits hot
     words otherwise), length and position bounds go before the shuffle, and the windows left are
     compared word by word with the text, which moves once.
     """
     folder = new_folder(documents.sparkSession, "decontamination")
     loose = documents.select("doc_id", _loose_words(F.col("text")).alias("w"))
-    counts = loose.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    anchored = _anchored(item_windows(benchmark, size), counts, folder)
+    windows = item_windows(benchmark, size)
+    asked = stored(windows.select(F.explode(F.transform("words", F.lower)).alias("word")).distinct(), f"{folder}/words")
+    counts = loose.select(F.explode("w").alias("word")).join(asked, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    anchored = _anchored(windows, counts, folder)
     prefixes = anchored.select("word", "place", F.size("words").alias("k"), "window_id")
     places = loose.select("doc_id", F.size("w").alias("n_words"), F.posexplode("w").alias("pos", "word"))
     start = F.col("pos") - F.col("place")
@@ -70,10 +81,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13,
     found = found.join(anchored.select("window_id", "item_id", "words"), "window_id").groupBy("doc_id").agg(
         F.collect_list(F.struct("start", F.size("words").alias("k"), F.col("item_id").cast("string").alias("item_id"), "words")).alias("found")
     ).withColumnRenamed("doc_id", "found_in")
-    texts = documents.select("doc_id", ascii_lower(F.col("text")).alias("text"))
-    joined = texts.join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
-    read = joined.select("doc_id", words(F.col("text")).alias("w"), "found")
-    same = F.filter("found", lambda f: F.slice("w", f["start"] + 1, f["k"]) == f["words"])
+    joined = documents.select("doc_id", "text").join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
+    read = joined.select("doc_id", _parts(F.split("text", BREAK_UNFOLDED)).alias("w"), "found")
+    same = F.filter("found", lambda f: F.transform(F.slice("w", f["start"] + 1, f["k"]), ascii_lower) == f["words"])
     read = read.select("doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(same, F.expr("filter(found, f -> false)")).alias("same"))
     spans = F.array_sort(F.transform("same", lambda f: F.struct(f["start"].alias("s"), (f["start"] + f["k"]).alias("e"))))
     hit = F.aggregate(
