@@ -11,6 +11,7 @@ from . import sql
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
 from .jaccard_join import similar_documents
+from .sentencepiece_codec import encode
 from .suffix_dedup import remove_repeats
 from .url_reputation import Rule, filter_urls
 
@@ -19,6 +20,9 @@ URL_RULES = (
     Rule("www.example.com", "/en/", "allow"), Rule("net", "/es/", "block"), Rule("net", "/fr/", "block"),
 )
 
+#: Public vocabulary that the queries use; the operator takes any path.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -45,6 +49,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether they decode to it."""
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), SENTENCEPIECE_MODEL)
+    return encoded.select("doc_id", "n_tokens", "round_trip", "ids")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in every document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -67,6 +77,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_embedding_dedup": (op5_embedding_dedup, sql.NEAR_VECTORS),
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_url_filter": (op7_url_filter, sql.URL_FILTER),
+    "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_decontamination": (op9_decontamination, sql.DECONTAMINATION),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
 }
