@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sql
+from . import quality, sql
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
 from .jaccard_join import similar_documents
+from .sampling import held_out
 from .sentencepiece_codec import encode
 from .suffix_dedup import remove_repeats
 from .url_reputation import Rule, filter_urls
@@ -28,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", quality.accepted(F.col("score")).cast("int").alias("predicted"),
+    )
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
@@ -74,6 +84,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op4_quality": (op4_quality, None),
     "op5_embedding_dedup": (op5_embedding_dedup, sql.NEAR_VECTORS),
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_url_filter": (op7_url_filter, sql.URL_FILTER),
