@@ -31,7 +31,7 @@ def _scan(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 1 << 19):
             hashes, at = _sets(part)
             counts += np.bincount((hashes >> np.uint64(46)).astype(np.int64), minlength=SKETCH)
             keys, n = set_keys(hashes, at), np.diff(at)
@@ -63,12 +63,13 @@ def prefix_matches(weights: np.ndarray, base: int, needed: int) -> int:
     return min(choices, key=lambda k: lists[min(base + k, len(lists)) - 1] * (1.0 + len(weights) / (8.0 * k)))
 
 
-def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(token, node, n, l, place) for the prefix of every document."""
+def _postings(docs: DataFrame, sketch: np.ndarray, only: np.ndarray | None = None) -> DataFrame:
+    """(token, node, n, l, place) for the prefix of every document, of tokens in a bitmap only."""
     excess = docs.sparkSession.sparkContext.broadcast(_excess(sketch))
+    seen = docs.sparkSession.sparkContext.broadcast(only)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 1 << 19):
             hashes, at = _sets(part)
             keys = set_keys(hashes, at)
             cost = excess.value[(hashes >> np.uint64(46)).astype(np.int64)]
@@ -84,6 +85,9 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                     asked.append(np.full(len(keep[-1]), k))
             if keep:
                 keep, asked = np.concatenate(keep), np.concatenate(asked)
+                if seen.value is not None:
+                    some = in_bitmap(seen.value, tokens[keep])
+                    keep, asked = keep[some], asked[some]
                 yield pa.record_batch(
                     [pa.array(tokens[keep]), pa.array(keys[row[keep]]), pa.array(np.diff(at)[row[keep]]), pa.array(asked.astype(np.int32)), pa.array((keep - at[row[keep]]).astype(np.int32))],
                     ["token", "node", "n", "l", "place"],
@@ -94,16 +98,10 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 def _shared(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     """The postings of tokens that several nodes have, with the smallest such node as leader."""
-    posted = _postings(docs, sketch)
-    leaders = posted.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    leaders = _postings(docs, sketch).groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
     leaders = durable(leaders.where("leader <> last").select("token", "leader"))
-    seen = docs.sparkSession.sparkContext.broadcast(bitmap(leaders.select("token")))
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(seen.value, batch.column(0).to_numpy())))
-
-    some = posted.mapInArrow(likely, posted.schema).groupBy("token", "node").agg(*(F.max(c).alias(c) for c in ("n", "l", "place")))
+    some = _postings(docs, sketch, bitmap(leaders.select("token")))
+    some = some.groupBy("token", "node").agg(*(F.max(c).alias(c) for c in ("n", "l", "place")))
     return durable(some.join(leaders, "token"))
 
 
@@ -124,7 +122,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(iter([batch]), "text_a"):
+            for part in slices(iter([batch]), "text_a", 1 << 18):
                 sides = [_sets(part, "text_a"), _sets(part, "text_b")]
                 ends = [part.column(0).to_numpy(), part.column(1).to_numpy()]
                 same = [set_keys(*s) == e for s, e in zip(sides, ends, strict=True)]
