@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sql
+from . import language_id, quality, sql
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
 from .jaccard_join import similar_documents
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identified(docs.select("doc_id", "text"), language_id.learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,6 +91,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op3_language_id": (op3_language_id, None),
     "op4_quality": (op4_quality, None),
     "op5_embedding_dedup": (op5_embedding_dedup, sql.NEAR_VECTORS),
     "op6_jaccard_join": (op6_jaccard_join, None),
