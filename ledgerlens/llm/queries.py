@@ -11,6 +11,7 @@ from . import language_id, quality, sql
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
 from .jaccard_join import similar_documents
+from .line_dedup import dedup_lines
 from .sampling import held_out
 from .sentencepiece_codec import encode
 from .suffix_dedup import remove_repeats
@@ -29,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the blocks of lines that an earlier one has."""
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "lines_removed", "text")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -91,6 +98,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_line_dedup": (op1_line_dedup, None),
     "op3_language_id": (op3_language_id, None),
     "op4_quality": (op4_quality, None),
     "op5_embedding_dedup": (op5_embedding_dedup, sql.NEAR_VECTORS),
