@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language_id, quality, sql
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
+from .html_text import extracted
 from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
 from .sampling import held_out
@@ -36,6 +37,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "lines_removed", "text")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -99,6 +105,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_line_dedup": (op1_line_dedup, None),
+    "op2_html_text": (op2_html_text, None),
     "op3_language_id": (op3_language_id, None),
     "op4_quality": (op4_quality, None),
     "op5_embedding_dedup": (op5_embedding_dedup, sql.NEAR_VECTORS),
