@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,14 +55,15 @@ def _anchored(windows: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
     return stored(windows.join(rare, "window_id").select("window_id", "item_id", "words", "rarest.word", "rarest.place"), f"{folder}/anchored")
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13, share: int = 20) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13, share: int = 20, carry: Sequence[str] = ()) -> DataFrame:
     """Count the words of every document that lie in an occurrence of a benchmark window.
 
     Returns one row per row of ``documents`` (doc_id, text): doc_id, n_words, n_hit, items (sorted
     item ids as strings), contaminated (n_hit > 0 and ``share`` * n_hit >= n_words). Windows are
     ``size`` consecutive words of an item, all words of a shorter one. Null and empty texts have no
     words and no hits; repeated rows and null doc_ids are judged row by row; items with null
-    id or text have no windows; an empty benchmark leaves all counts 0. Other columns are not read.
+    id or text have no windows; an empty benchmark leaves all counts 0. Other columns are not read,
+    but for those named by ``carry``, which come back as fields of a last column ``row``.
 
     Words of items are counted over all documents, summed before their shuffle. Document words meet
     the rarest word of each window (Spark broadcasts that side where it is below its bound, and splits hot
@@ -81,10 +84,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13,
     found = found.join(anchored.select("window_id", "item_id", "words"), "window_id").groupBy("doc_id").agg(
         F.collect_list(F.struct("start", F.size("words").alias("k"), F.col("item_id").cast("string").alias("item_id"), "words")).alias("found")
     ).withColumnRenamed("doc_id", "found_in")
-    joined = documents.select("doc_id", "text").join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
-    read = joined.select("doc_id", _parts(F.split("text", BREAK_UNFOLDED)).alias("w"), "found")
+    row = F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row") if carry else F.lit(None).alias("row")
+    joined = documents.select("doc_id", "text", row).join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
+    read = joined.select("doc_id", _parts(F.split("text", BREAK_UNFOLDED)).alias("w"), "found", "row")
     same = F.filter("found", lambda f: F.transform(F.slice("w", f["start"] + 1, f["k"]), ascii_lower) == f["words"])
-    read = read.select("doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(same, F.expr("filter(found, f -> false)")).alias("same"))
+    read = read.select("doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(same, F.expr("filter(found, f -> false)")).alias("same"), "row")
     spans = F.array_sort(F.transform("same", lambda f: F.struct(f["start"].alias("s"), (f["start"] + f["k"]).alias("e"))))
     hit = F.aggregate(
         spans, F.expr("struct(0 AS upto, 0L AS hit)"),
@@ -95,5 +99,6 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13,
         lambda a: a["hit"],
     )
     items = F.coalesce(F.array_sort(F.array_distinct(F.transform("same", lambda f: f["item_id"]))), F.array().cast("array<string>"))
-    out = read.select("doc_id", "n_words", F.coalesce(hit, F.lit(0).cast("long")).alias("n_hit"), items.alias("items"))
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+    out = read.select("doc_id", "n_words", F.coalesce(hit, F.lit(0).cast("long")).alias("n_hit"), items.alias("items"), "row")
+    found = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+    return out.select("doc_id", "n_words", "n_hit", "items", found.alias("contaminated"), *(["row"] if carry else []))
