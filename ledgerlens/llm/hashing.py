@@ -129,13 +129,23 @@ def gathered(parts: DataFrame, size: int, dtype: str, merge: Callable) -> np.nda
     return out
 
 
-def bit_places(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    place = mix(values.astype(np.int64).view(np.uint64)) & np.uint64(bits - 1)
-    return (place >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+_ROUNDS = (np.uint64(0), np.uint64(0x9E3779B97F4A7C15))
+
+
+def bit_places(values: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The two (byte, bit) places of every value."""
+    for salt in _ROUNDS:
+        place = mix(values.astype(np.int64).view(np.uint64) ^ salt) & np.uint64(bits - 1)
+        yield (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8)
+
+
+def set_bits(array: np.ndarray, values: np.ndarray) -> None:
+    for byte, bit in bit_places(values, len(array) * 8):
+        np.bitwise_or.at(array, byte, bit)
 
 
 def bitmap(values: DataFrame, bits: int = 1 << 24) -> np.ndarray:
-    """A set of hashed places of the one long column of ``values``: 2 MB, whatever their number.
+    """A Bloom filter of the one long column of ``values``: 2 MB, whatever their number.
 
     Used to keep most rows that a join would lose away from its shuffle; the join decides.
     """
@@ -143,13 +153,14 @@ def bitmap(values: DataFrame, bits: int = 1 << 24) -> np.ndarray:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            byte, bit = bit_places(batch.column(0).drop_null().to_numpy(zero_copy_only=False), bits)
-            np.bitwise_or.at(own, byte, bit)
+            set_bits(own, batch.column(0).drop_null().to_numpy(zero_copy_only=False))
         yield blocks(own)
 
     return gathered(values.mapInArrow(local, "block int, data binary"), bits // 8, "uint8", np.bitwise_or)
 
 
 def in_bitmap(array: np.ndarray, values: np.ndarray) -> np.ndarray:
-    byte, bit = bit_places(values, len(array) * 8)
-    return (array[byte] & bit) > 0
+    found = np.ones(len(values), bool)
+    for byte, bit in bit_places(values, len(array) * 8):
+        found &= (array[byte] & bit) > 0
+    return found

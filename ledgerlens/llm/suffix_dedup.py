@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import shuffle_width
 
-from .hashing import bit_places, blocks, gathered, in_bitmap, mix, slices, text_bytes
+from .hashing import blocks, gathered, in_bitmap, mix, set_bits, slices, text_bytes
 
 LENGTH = 50
 GRAM = 20
 BATCH = 1 << 20
-BITS = 1 << 25
+BITS = 1 << 26
 _BYTE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -122,13 +122,42 @@ def _by_doc(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBat
     return pa.record_batch([pa.array(ids, pa.int64()), pa.array([both[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], ["doc_id", "spans"])
 
 
+def _small(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "big") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _large(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "big"), codec="zstd", asbytes=True)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of int64 of one length, one after the other."""
+    return _small(np.stack(columns).astype(np.int64).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    """Rows of three int64."""
+    return np.frombuffer(_large(data), np.int64).reshape(3, -1).T
+
+
+def _bundles(doc: np.ndarray, start: np.ndarray, end: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Ranges packed by groups of documents, so that their number follows the tasks, not the documents."""
+    group = (mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    cuts = np.searchsorted(group[order], np.arange(shards + 1))
+    used = np.flatnonzero(np.diff(cuts))
+    packed = [_packed(doc[p], start[p], end[p]) for p in (order[cuts[g] : cuts[g + 1]] for g in used)]
+    none = pa.nulls(len(used), pa.binary())
+    yield pa.record_batch([pa.array(used, pa.int32()), pa.array(packed, pa.binary()), none, none], ["shard", "known", "heads", "data"])
+
+
 def _ids(part: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
     part = part.filter(pa.compute.is_valid(part.column(0)))
     return part, part.column(0).to_numpy()
 
 
 def _repeated_keys(docs: DataFrame, shards: int) -> np.ndarray:
-    """Bitmap of the keys that occur in several documents.
+    """Bloom filter (8 MB) of the keys that occur in several documents.
 
     A task sends a key of a run of texts once, by shard, in packed arrays.
     """
@@ -167,8 +196,7 @@ def _repeated_keys(docs: DataFrame, shards: int) -> np.ndarray:
         twice = twice[1:][twice[1:] == twice[:-1]]
         own = np.zeros(BITS // 8, np.uint8)
         for found in (twice, keys[several]):
-            byte, bit = bit_places(found.view(np.int64), BITS)
-            np.bitwise_or.at(own, byte, bit)
+            set_bits(own, found.view(np.int64))
         yield blocks(own)
 
     sent = docs.mapInArrow(send, "shard int, keys binary, several binary").repartition("shard")
@@ -176,7 +204,7 @@ def _repeated_keys(docs: DataFrame, shards: int) -> np.ndarray:
 
 
 def _repeats(docs: DataFrame, seen, shards: int) -> DataFrame:
-    """(doc_id, spans) with the removed byte ranges that each shard of suffixes finds."""
+    """(doc_id, spans) with the removed byte ranges of every document that has some."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -196,33 +224,29 @@ def _repeats(docs: DataFrame, seen, shards: int) -> DataFrame:
             for i in order:
                 leader[i] = first.setdefault(texts[i], i)
             repeat = doc[leader] < doc
-            known = _by_doc(doc[repeat], from_[repeat], (from_ + n + LENGTH - 1)[repeat])
-            if known.num_rows:
-                yield pa.record_batch(
-                    [pa.array(-1 - known.column(0).to_numpy() % shards, pa.int32()), known.column(0), pa.nulls(known.num_rows, pa.binary()), known.column(1)],
-                    ["shard", "doc_id", "heads", "data"],
-                )
+            known, start, end = _spans(doc[repeat], from_[repeat], (from_ + n + LENGTH - 1)[repeat])
+            yield from _bundles(known, start, end, shards)
             lead = np.flatnonzero(~repeat)
             shard = (keys[lead] % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             used = np.flatnonzero(np.diff(cuts))
             pick = [lead[order[cuts[s] : cuts[s + 1]]] for s in used]
-            heads = np.stack((doc, from_, n), 1).astype(np.int64)
+            heads = [_packed(doc[p], from_[p], n[p]) for p in pick]
             yield pa.record_batch(
-                [pa.array(used, pa.int32()), pa.nulls(len(used), pa.int64()), pa.array([heads[p].tobytes() for p in pick], pa.binary()), pa.array([b"".join(texts[i] for i in p) for p in pick], pa.binary())],
-                ["shard", "doc_id", "heads", "data"],
+                [pa.array(used, pa.int32()), pa.nulls(len(used), pa.binary()), pa.array(heads, pa.binary()), pa.array([_small(b"".join(texts[i] for i in p)) for p in pick], pa.binary())],
+                ["shard", "known", "heads", "data"],
             )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, texts = [np.zeros((0, 3), np.int64)], []
+        heads, texts, found = [np.zeros((0, 3), np.int64)], [], []
         for batch in batches:
-            known = pa.compute.is_valid(batch.column(1))
-            yield pa.record_batch([batch.column(1), batch.column(3)], ["doc_id", "spans"]).filter(known)
-            for h, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if h is not None:
-                    heads.append(np.frombuffer(h, np.int64).reshape(-1, 3))
-                    texts.append(t)
+            for known, h, t in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                if known is not None:
+                    found.append(_unpacked(known))
+                else:
+                    heads.append(_unpacked(h))
+                    texts.append(_large(t))
         heads, data = np.concatenate(heads), np.frombuffer(b"".join(texts), np.uint8)
         widths = heads[:, 2] + LENGTH - 1
         begins = np.cumsum(widths) - widths
@@ -240,11 +264,18 @@ def _repeats(docs: DataFrame, seen, shards: int) -> DataFrame:
             prints = rolling(buffer, LENGTH)[np.repeat(put, n) + inner]
             doc, start = np.repeat(heads[run, 0], n), np.repeat(heads[run, 1], n) + inner
             hit = index.add(prints, doc)
-            yield _by_doc(doc[hit], start[hit], start[hit] + LENGTH)
+            found.append(np.stack(_spans(doc[hit], start[hit], start[hit] + LENGTH), 1))
             a = b
+        found = np.concatenate([np.zeros((0, 3), np.int64), *found])
+        yield from _bundles(found[:, 0], found[:, 1], found[:, 2], shards)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [np.zeros((0, 3), np.int64), *(_unpacked(known) for batch in batches for known in batch.column(1).to_pylist())]
+        yield _by_doc(*np.concatenate(found).T)
 
-    sent = docs.mapInArrow(send, "shard int, doc_id long, heads binary, data binary").repartition("shard")
-    return sent.mapInArrow(scan, "doc_id long, spans binary")
+    bundle = "shard int, known binary, heads binary, data binary"
+    hits = docs.mapInArrow(send, bundle).repartition("shard").mapInArrow(scan, bundle)
+    return hits.select("shard", "known").repartition("shard").mapInArrow(gather, "doc_id long, spans binary")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -265,7 +296,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text")
     shards = 8 * shuffle_width(docs.sparkSession)
     seen = docs.sparkSession.sparkContext.broadcast(_repeated_keys(texts, shards))
-    spans = _repeats(texts, seen, shards).groupBy("doc_id").agg(F.collect_list("spans").alias("spans")).withColumnRenamed("doc_id", "spans_of")
+    spans = _repeats(texts, seen, shards).withColumnRenamed("doc_id", "spans_of")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,7 +306,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 for i, found in enumerate(part.column(2).to_pylist()):
                     own, text = np.zeros((0, 2), np.int64), data[at[i] : at[i + 1]]
                     if found:
-                        own = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+                        own = np.frombuffer(found, np.int64).reshape(-1, 2)
                         own = own[own[:, 1] <= len(text)]
                         _, start, end = _spans(np.zeros(len(own), np.int64), own[:, 0], own[:, 1])
                         own = np.stack((start, end), 1)
