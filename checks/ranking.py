@@ -189,14 +189,14 @@ def _lit(s: str) -> str:
 
 
 ANSWER_SQL = f"""
-    SELECT a.query_id, md5({_lit(N.ANSWER_HEAD)} || repeat(chr(10), 4) || 'Question: ' || normalized
-           || repeat(chr(10), 4) || 'Passages:' || repeat(chr(10), 2) || coalesce(ctx, '(none)')) AS prompt_md5
+    SELECT a.query_id, md5('## Sources' || chr(10) || coalesce(ctx, '(none)') || chr(10) || '## Question' || chr(10) || normalized
+           || chr(10) || '## Task' || chr(10) || {_lit(N.ANSWER_HEAD)}) AS prompt_md5
     FROM asked a LEFT JOIN (SELECT query_id, string_agg(block, chr(10) || chr(10) ORDER BY pos) AS ctx
                             FROM blocks GROUP BY 1) b ON a.query_id = b.query_id"""
 SCORING_SQL = rf"""
-    SELECT a.query_id, md5({_lit(N.SCORING_HEAD)} || chr(10) || 'Query: ' || normalized || repeat(chr(10), 2)
-           || string_agg('Passage ' || pos || ':' || chr(10)
-                || substr(trim(regexp_replace(chunk_text, '\s+', ' ', 'g')), 1, 2500) || chr(10), chr(10) ORDER BY pos))
+    SELECT a.query_id, md5({_lit(N.SCORING_HEAD)} || chr(10) || '## Query' || chr(10) || normalized || repeat(chr(10), 2) || '## Passages' || chr(10)
+           || string_agg('#' || pos || ' '
+                || substr(trim(regexp_replace(chunk_text, '\s+', ' ', 'g')), 1, 2500), chr(10) ORDER BY pos))
            AS prompt_md5
     FROM asked a JOIN turns t ON a.query_id = t.query_id WHERE pos <= 50 GROUP BY a.query_id, normalized"""
 

@@ -197,7 +197,7 @@ ANSWERED_SQL = f"""
     SELECT q.query_id, q.query_text AS normalized,
            (SELECT CAST(count(*) AS INT) FROM candidates c WHERE c.query_id = q.query_id) AS n_candidates,
            (SELECT string_agg(chunk_id, ',' ORDER BY p3) FROM context10 x WHERE x.query_id = q.query_id) AS chunks,
-           CAST(length({_lit(ANSWER_HEAD)}) + length('Question: Passages:') + 10 + length(q.query_text)
+           CAST(length({_lit(ANSWER_HEAD)}) + length('## Sources## Question## Task') + 5 + length(q.query_text)
              + coalesce(n_context, length('(none)')) AS INT) AS n_prompt
     FROM plain_queries q LEFT JOIN packed10 USING (query_id)"""
 

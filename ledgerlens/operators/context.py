@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.payload import loose_json_object, payload_scores
+from ..functions.payload import endpoint_scores, loose_json_object, payload_scores
 from ..functions.text import normalize_text, strip_ws, tokens
 from .ranking import collapse_parents, context_size, diversify, rerank
 from .skew import ordered_rank
@@ -18,13 +18,13 @@ PASSAGE_CHARS = 2500
 CONTEXT_CHARS = 14000
 
 SCORING_HEAD = (
-    "Rate how relevant every passage is to the query, from 0 to 100.\n"
-    'Answer with JSON only: {"scores": [..]}, one number per passage, in order.\n'
+    "You grade search results. Give each numbered passage an integer grade: 100 settles the query, "
+    "50 touches its topic, 0 has nothing to do with it.\n"
+    'Reply with one JSON object whose key "scores" lists the grades in the order of the passages.\n'
 )
 ANSWER_HEAD = (
-    "Use nothing but the passages below to answer the question.\n\n"
-    "Name the passages you rely on by their bracketed id, as in [chunk_id].\n\n"
-    "Say that the information is missing if the passages do not hold the answer."
+    "Write a short answer to the question. Every statement must come from one of the sources and end "
+    "with its [id]. Where the sources are silent, say what is missing and stop there."
 )
 
 
@@ -42,20 +42,21 @@ def scoring_prompt(
     text = F.substring(normalize_text(F.col(text_col)), 1, passage_chars)
     passages = hits.filter(F.col("pos") <= top_n).select(
         "query_id", "pos",
-        F.concat(F.lit("Passage "), F.col("pos"), F.lit(":\n"), text, F.lit("\n")).alias("_passage"),
+        F.concat(F.lit("#"), F.col("pos"), F.lit(" "), text).alias("_passage"),
     )
     joined = _ordered_text(passages, "_passage", "\n", "_passages")
     return joined.join(queries.select("query_id", "normalized"), "query_id").select(
         "query_id",
         F.concat(
-            F.lit(head + "\nQuery: "), "normalized", F.lit("\n\n"), "_passages"
+            F.lit(head + "\n## Query\n"), "normalized", F.lit("\n\n## Passages\n"), "_passages"
         ).alias("scoring_prompt"),
     )
 
 
 def response_scores(responses: DataFrame, response_col: str = "response") -> DataFrame:
-    """(query_id, pos, new_score) rows from ``{"scores": [..]}`` answers."""
-    scores = payload_scores(loose_json_object(F.col(response_col)))
+    """(query_id, pos, new_score) rows from endpoint responses, else from ``{"scores": [..]}`` answers."""
+    given = F.col(response_col)
+    scores = F.coalesce(endpoint_scores(given), payload_scores(loose_json_object(given)))
     return responses.select("query_id", F.posexplode(scores).alias("_at", "new_score")).select(
         "query_id", (F.col("_at") + 1).alias("pos"), "new_score"
     )
@@ -120,12 +121,13 @@ def assemble_context(
     top_k: int = 10,
     collapse_per_parent: int = 6,
     max_per_parent: int = 3,
+    max_context: int = 10,
 ) -> DataFrame:
-    """Rerank (or cut), collapse per parent, diversify, and keep 5 to 10 chunks per query."""
+    """Rerank (or cut), collapse per parent, diversify, and keep 5 to ``max_context`` chunks per query."""
     bound = max(1, int(top_k))
     ranked = rerank(hits, scores if post_rerank else None, top_n=top_n, top_k=top_k)
     collapsed = collapse_parents(ranked, collapse_per_parent, limit=bound)
-    return diversify(collapsed, max_per_parent, limit=min(bound, context_size(top_k)))
+    return diversify(collapsed, max_per_parent, limit=min(bound, context_size(top_k, max_context)))
 
 
 def packed_blocks(
@@ -160,8 +162,8 @@ def answer_prompt(
     return joined.select(
         "query_id",
         F.concat(
-            F.lit(head + "\n\n\n\nQuestion: "), "normalized", F.lit("\n\n\n\nPassages:\n\n"),
-            F.coalesce("_context", F.lit("(none)")),
+            F.lit("## Sources\n"), F.coalesce("_context", F.lit("(none)")), F.lit("\n## Question\n"),
+            "normalized", F.lit("\n## Task\n" + head),
         ).alias("answer_prompt"),
     )
 

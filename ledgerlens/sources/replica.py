@@ -105,9 +105,9 @@ def append_path(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
-    """CSV with a header and string columns; quoted cells may span lines."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, required: Sequence[str], *, multi_line: bool = True) -> DataFrame:
+    """CSV with a header and string columns; with ``multi_line`` cells may span lines and a file is one task."""
+    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     return require_columns(df, required, path)
 
 

@@ -24,15 +24,15 @@ def test_answer_prompt_without_context(spark):
     queries = spark.createDataFrame([("q", "why"), ("r", "how")], "query_id string, normalized string")
     chunks = spark.createDataFrame([("q", 1, "c", " some\n text ")], "query_id string, pos int, chunk_id string, chunk_text string")
     out = dict(map(tuple, N.answer_prompt(chunks, queries).collect()))
-    assert out["q"].endswith("Question: why\n\n\n\nPassages:\n\n[c]\nsome text")
-    assert out["r"].endswith("Question: how\n\n\n\nPassages:\n\n(none)")
+    assert out["q"].startswith("## Sources\n[c]\nsome text\n## Question\nwhy\n## Task\n")
+    assert out["r"].startswith("## Sources\n(none)\n## Question\nhow\n## Task\n")
 
 
 def test_scoring_prompt_cuts_passages(spark):
     queries = spark.createDataFrame([("q", "why")], "query_id string, normalized string")
     chunks = spark.createDataFrame([("q", 2, "b", "z" * 20), ("q", 1, "a", "x")], "query_id string, pos int, chunk_id string, chunk_text string")
     text = N.scoring_prompt(chunks, queries, passage_chars=5).first()["scoring_prompt"]
-    assert text.endswith("Query: why\n\nPassage 1:\nx\n\nPassage 2:\nzzzzz\n")
+    assert text.endswith("## Query\nwhy\n\n## Passages\n#1 x\n#2 zzzzz")
 
 
 def test_model_scores_drop_wrong_lengths(spark):

@@ -125,3 +125,8 @@ def test_hash_embedding_is_a_unit_vector(spark):
     assert got[1] is None and got[2] is None
     assert len(got[0]) == 16 and math.isclose(sum(x * x for x in got[0]), 1.0)
     assert sorted(got[0])[-1] == pytest.approx(2 / math.sqrt(5))
+
+
+def test_endpoint_scores(spark):
+    given = ['{"predictions": [{"score": 2}, {"other": 1}]}', '{"predictions": [1, 2.5]}', "[3, 4]", '{"scores": [1]}', "no", None]
+    assert each(spark, given, P.endpoint_scores) == [[2.0, 0.0], [1.0, 2.5], [3.0, 4.0], None, None, None]
