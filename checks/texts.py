@@ -93,6 +93,29 @@ def sql(text: str, **more: str) -> str:
 
 DOCS_A = "SELECT CAST(doc_id AS STRING) AS id, text AS t FROM documents"
 DOCS_B = "SELECT CAST(doc_id AS STRING) AS id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents"
+
+
+def _soft_end(window: str) -> str:
+    """Length of a window of 2,500 characters that ends behind a separator."""
+    ends = []
+    for mark in C.SOFT_BREAKS:
+        end = f"(2501 - strpos(reverse({window}), '{mark[::-1]}'))"
+        ends.append(f"CASE WHEN {end} <= 2500 AND {end} - {len(mark)} >= 120 THEN {end} END")
+    return f"coalesce({', '.join(ends)}, 2500)"
+
+
+SOFT_PIECES = f"""
+    WITH RECURSIVE ps_ AS (
+        SELECT id, unnest(ps) AS p, unnest(range(0, len(ps))) AS pn FROM paras),
+      cut AS (
+        SELECT id, pn, p, 0 AS off, {_soft_end("substr(p, 1, 2500)")} AS n FROM ps_ WHERE length(p) > 2500
+        UNION ALL
+        SELECT id, pn, p, off2 AS off, CASE WHEN length(p) - off2 > 2500 THEN {_soft_end("substr(p, off2 + 1, 2500)")} ELSE 2500 END AS n
+        FROM (SELECT id, pn, p, off + CASE WHEN n > 300 THEN n - 300 ELSE n END AS off2 FROM cut WHERE length(p) - off > 2500)),
+      item AS (
+        SELECT id, pn, 0 AS off, p AS o, true AS w FROM ps_ WHERE length(p) <= 2500
+        UNION ALL SELECT id, pn, off, trim(substr(p, CAST(off AS BIGINT) + 1, CAST(n AS BIGINT)), {STRIPPED}), false FROM cut)
+    SELECT id, list({{'d': []::VARCHAR[], 'o': o, 'w': w}} ORDER BY pn, off) AS xs FROM item GROUP BY id"""
 CHUNK_SQL = "SELECT chunk_id, company_id, chunk_index, length(chunk_text) AS n_chars FROM chunked"
 
 
@@ -330,7 +353,7 @@ QUERIES = {
     "chunk_semantic_text": (
         semantic_chunks, sql(CHUNK_SQL, src="SELECT company_id AS id, semantic_text AS t FROM sem_text"),
     ),
-    "chunk_soft_breaks": (soft_chunks, None),
+    "chunk_soft_breaks": (soft_chunks, sql(CHUNK_SQL, src=DOCS_B, pieces=SOFT_PIECES)),
     "chunk_profile": (
         lambda s, d: C.chunk_profile(C.chunk(_docs(s, d, True))),
         sql("""SELECT count(*) AS n_chunks, count(DISTINCT company_id) AS n_companies,
