@@ -17,6 +17,8 @@ from .hashing import bitmap, blocks, gathered, in_bitmap, set_keys, shingle_sets
 SHINGLE = 5
 MATCHES = 4
 SKETCH = 1 << 18
+#: Shingles that a document of n shingles posts when it asks for l matches.
+PREFIX = "least(n{0}, n{0} - (3 * n{0} + 3) div 4 + l{0})"
 
 
 def _sets(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -153,14 +155,16 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     Method: shingles are ordered by estimated frequency (a sketch of fixed size, summed over all
     texts), then by hash. A document posts a prefix that is longer, and asks for as many shared
     tokens more, where the estimated lists are long. Copies are one node. Tokens of one node go.
-    First each node is compared with the best leader (smallest node of a token), which joins large
-    groups of near copies without their pairs; then only nodes of different components that
-    share a token meet, under length and position bounds. Every pair is verified on its texts.
+    First a node that shares many tokens with a leader (smallest node of a token) is compared with
+    it, which joins large groups of near copies without their pairs; then only nodes of different
+    components that share a token meet, under bounds by length, position, number of matches and
+    what the prefixes leave. Every pair is verified on its texts.
     """
     rows, sketch = _scan(docs)
     shared = _shared(docs, sketch)
-    nominated = shared.where("node <> leader").groupBy("node", "leader").count()
-    best = nominated.groupBy("node").agg(F.max(F.struct("count", "leader")).alias("best")).select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+    nominated = shared.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("count"), F.max("n").alias("n"), F.max("l").alias("l"))
+    best = nominated.groupBy("node").agg(F.max(F.struct("count", "leader", "n", "l")).alias("best")).select("node", "best.*")
+    best = best.where(f"7 * (count + n - {PREFIX.format('')}) >= 6 * n").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     stars = durable(_verified(best, rows, docs))
     joined = durable(components(stars))
     labelled = durable(shared.join(joined, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component", "leader"))
@@ -172,9 +176,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         "7 * (least(place, place2) + 1 + least(n - place, n2 - place2) - 1) >= 3 * (n + n2)"
     )
     met = left.join(right, "token").where(possible).groupBy("node", "node2").agg(
-        F.count(F.lit(1)).alias("matches"), F.least(F.max("l"), F.max("l2")).alias("asked")
+        F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2"))
     )
-    crossing = _verified(met.where("matches >= asked").select(F.col("node").alias("a"), F.col("node2").alias("b")), rows, docs)
+    # what lies behind both prefixes can add no more than the longer rest
+    rest = f"greatest(n - {PREFIX.format('')}, n2 - {PREFIX.format('2')})"
+    enough = F.expr(f"matches >= least(l, l2) AND 7 * (matches + {rest}) >= 3 * (n + n2)")
+    crossing = _verified(met.where(enough).select(F.col("node").alias("a"), F.col("node2").alias("b")), rows, docs)
     found = components(durable(stars.union(crossing)))
     known = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("first")).join(found, "node", "left")
