@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import evaluation as V
@@ -14,6 +15,7 @@ from ledgerlens.session import durable
 
 from .views import table, view, with_views
 
+PROBES = 3
 K = 10
 FIELDS = ["lang", "source"]
 TOKENS = r"list_filter(string_split_regex(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"
@@ -234,9 +236,27 @@ def dense(**options):
 
 
 def probed(spark, d):
-    corpus = view(spark, d, "doc_vectors")
-    model = D.train_centroids(corpus, 16)
-    return D.probed_topk(_prototypes(spark, d), D.assign_clusters(corpus, model), model, K, probes=8)
+    """Clusters around the label means, so that the comparison can follow the probes."""
+    queries = _prototypes(spark, d)
+    centers = np.array([r["embedding"] for r in queries.orderBy("query_id").collect()])
+    corpus = view(spark, d, "doc_vectors").withColumn("chunk_text", F.lit("x"))
+    index = S.build_index(corpus, text_col="chunk_text", centers=centers)
+    return S.retrieve(queries.withColumn("query_text", F.lit("x")), index, K, mode="DENSE", probes=PROBES)
+
+
+PROBED_SQL = f"""
+    WITH centers AS (SELECT v, row_number() OVER (ORDER BY CAST(query_id AS INT)) AS cluster FROM prototypes),
+      member AS (
+        SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e,
+               (SELECT arg_max(cluster, list_cosine_similarity(v, list_transform(embedding, lambda x: x::DOUBLE))) FROM centers) AS cluster
+        FROM embeddings),
+      probe AS (
+        SELECT query_id, p.v, cluster FROM prototypes p CROSS JOIN centers c
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY list_cosine_similarity(p.v, c.v) DESC, cluster) <= {PROBES})
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INT) AS hit_no, chunk_id, score
+    FROM (SELECT query_id, 'd' || vec_id AS chunk_id, round(list_cosine_similarity(v, e), 6) AS score
+          FROM probe JOIN member USING (cluster))
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) <= {K}"""
 
 
 def retrieve(mode: str):
@@ -344,7 +364,7 @@ QUERIES = {
     "dense_topk": (dense(), sql("SELECT * FROM prototype_hits")),
     "dense_topk_sharded": (dense(query_bytes=2048, shard_rows=100), sql("SELECT * FROM prototype_hits")),
     "dense_topk_text": (retrieve("DENSE"), sql("SELECT * FROM dense")),
-    "probed_topk": (probed, None),
+    "probed_topk": (probed, sql(f"SELECT * FROM ({PROBED_SQL})")),
     "hybrid_topk": (retrieve("HYBRID"), sql("SELECT * FROM fused")),
     "filtered_rewrites": (rewrites, sql(REWRITES_SQL)),
     "answer_queries": (answered, sql(ANSWERED_SQL)),
