@@ -42,7 +42,7 @@ WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com'
                      ELSE regexp_extract(host, '([^.]*\\.)?[^.]*$') END AS domain FROM hosts),
     domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM named GROUP BY ALL),
     suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
-    overall AS (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) AS rate FROM suffixes),
+    overall AS (SELECT (sum(k) + 1.0) / (sum(n) + 10.0) AS rate FROM suffixes),
     {_level("suffixes", "suffixes u, overall p")},
     {_level("domains", "domains u JOIN suffixes_p p USING (suffix)")},
     {_level("named", "named u JOIN domains_p p USING (domain)")},

@@ -86,7 +86,8 @@ def host_reputation(
     """Posterior of the share of bad pages for every host of ``outcomes`` (host, bad).
 
     ``bad`` is 1, 0, or null for pages without a label; hosts that have only such pages get the
-    posterior of their domain. Rates are shrunk level by level: the overall rate is the prior
+    posterior of their domain. Rates are shrunk level by level: the overall rate (with one bad page in
+    ten as its own weak prior, so that a table without labels blocks nothing) is the prior
     mean of a suffix, the suffix of a registered domain, the domain of a host. The pseudo-count
     of each level comes from the spread between its units. Returns host, n, k, rate and bound
     (rate minus ``z`` posterior standard deviations).
@@ -101,7 +102,7 @@ def host_reputation(
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    overall = suffixes.agg(((F.sum("k") + 0.5) / (F.sum("n") + 1.0)).alias("rate"))
+    overall = suffixes.agg(((F.sum("k") + 1.0) / (F.sum("n") + 10.0)).alias("rate"))
 
     def shrunk(units: DataFrame, prior: DataFrame, on: str | None) -> DataFrame:
         prior = prior.select(*([on] if on else []), F.col("rate").alias("prior"))

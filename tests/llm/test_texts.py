@@ -60,7 +60,7 @@ def test_reputation_shrinks_small_hosts(spark):
     got = {r.host: r for r in host_reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
     assert got["bad.spam.org"].bound > 0.5 and got["new.spam.org"].rate > 0.5
     assert got["new.spam.org"].bound < got["bad.spam.org"].bound
-    assert got["one.fine.org"].rate < 0.5 and got["big.fine.org"].rate < 0.05
+    assert got["one.fine.org"].bound < 0.25 and got["big.fine.org"].rate < 0.05
     assert host_reputation(spark.createDataFrame([], "host string, bad int")).count() == 0
 
 
