@@ -102,9 +102,9 @@ def set_keys(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def blocks(array: np.ndarray) -> pa.RecordBatch:
-    """An array as rows (block, data); blocks of zeros are left out."""
+    """An array as rows (block, packed data); blocks of zeros are left out."""
     parts = [(i, array[i * BLOCK : (i + 1) * BLOCK]) for i in range(-(-len(array) // BLOCK))]
-    parts = [(i, p.tobytes()) for i, p in parts if p.any()]
+    parts = [(i, pa.compress(p.tobytes(), codec="zstd", asbytes=True)) for i, p in parts if p.any()]
     return pa.record_batch([pa.array([i for i, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary())], ["block", "data"])
 
 
@@ -118,13 +118,17 @@ def gathered(parts: DataFrame, size: int, dtype: str, merge: Callable) -> np.nda
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(data, dtype)
-                kept[i] = merge(kept[i], part) if i in kept else part
-        yield pa.record_batch([pa.array(list(kept), pa.int32()), pa.array([v.tobytes() for v in kept.values()], pa.binary())], ["block", "data"])
+                kept[i] = merge(kept[i], unpacked(i, data)) if i in kept else unpacked(i, data)
+        packed = [pa.compress(v.tobytes(), codec="zstd", asbytes=True) for v in kept.values()]
+        yield pa.record_batch([pa.array(list(kept), pa.int32()), pa.array(packed, pa.binary())], ["block", "data"])
+
+    def unpacked(i: int, data: bytes) -> np.ndarray:
+        n = min(BLOCK, size - i * BLOCK)
+        return np.frombuffer(pa.decompress(data, n * np.dtype(dtype).itemsize, codec="zstd", asbytes=True), dtype)
 
     out = np.zeros(size, dtype)
     for i, data in parts.repartition("block").mapInArrow(combine, "block int, data binary").collect():
-        part = np.frombuffer(data, dtype)
+        part = unpacked(i, data)
         out[i * BLOCK : i * BLOCK + len(part)] = part
     return out
 

@@ -9,14 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import durable
+from ledgerlens.session import durable, new_folder, stored
 
 from .components import components
 from .hashing import bitmap, blocks, gathered, in_bitmap, set_keys, shingle_sets, slices, text_bytes
 
 SHINGLE = 5
 MATCHES = 4
-SKETCH = 1 << 18
+SKETCH = 1 << 22
 #: Shingles that a document of n shingles posts when it asks for l matches.
 PREFIX = "least(n{0}, n{0} - (3 * n{0} + 3) div 4 + l{0})"
 
@@ -25,6 +25,11 @@ def _sets(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.nda
     return shingle_sets(*text_bytes(batch.column(batch.schema.get_field_index(name))), SHINGLE)
 
 
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    """Sketch cell of every shingle, from the upper bits of its hash."""
+    return (hashes >> np.uint64(42)).astype(np.int64)
+
+
 def _scan(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, node, n) for every row, and a frequency sketch of all shingles, in one pass.
 
@@ -32,10 +37,10 @@ def _scan(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.int32)
         for part in slices(batches, "text", 1 << 19):
             hashes, at = _sets(part)
-            counts += np.bincount((hashes >> np.uint64(46)).astype(np.int64), minlength=SKETCH)
+            np.add.at(counts, _cell(hashes), 1)
             keys, n = set_keys(hashes, at), np.diff(at)
             empty = pa.nulls(part.num_rows)
             yield pa.record_batch([part.column(0), pa.array(keys, mask=n == 0), pa.array(n), empty.cast(pa.int32()), empty.cast(pa.binary())], ["doc_id", "node", "n", "block", "data"])
@@ -44,14 +49,14 @@ def _scan(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         yield pa.record_batch([empty, empty, empty, *own.columns], ["doc_id", "node", "n", "block", "data"])
 
     both = durable(docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, node long, n long, block int, data binary"))
-    sketch = gathered(both.where("block IS NOT NULL").select("block", "data"), SKETCH, "int64", np.add)
+    sketch = gathered(both.where("block IS NOT NULL").select("block", "data"), SKETCH, "int32", np.add)
     return both.where("block IS NULL").select("doc_id", "node", "n"), sketch
 
 
 def _excess(sketch: np.ndarray) -> np.ndarray:
     """Estimated documents per shingle of a sketch cell, beyond what rare shingles load it with."""
     usual = float(np.median(sketch))
-    return np.maximum(0.0, sketch - usual - 4.0 * np.sqrt(usual) - 2.0)
+    return np.maximum(0.0, sketch - usual - 4.0 * np.sqrt(usual) - 2.0).astype(np.float32)
 
 
 def prefix_matches(weights: np.ndarray, base: int, needed: int) -> int:
@@ -74,7 +79,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray, only: np.ndarray | None = Non
         for part in slices(batches, "text", 1 << 19):
             hashes, at = _sets(part)
             keys = set_keys(hashes, at)
-            cost = excess.value[(hashes >> np.uint64(46)).astype(np.int64)]
+            cost = excess.value[_cell(hashes)]
             row = np.repeat(np.arange(len(keys)), np.diff(at))
             order = np.lexsort((hashes, cost, row))
             tokens, cost = hashes[order].view(np.int64), cost[order]
@@ -104,7 +109,7 @@ def _shared(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     leaders = durable(leaders.where("leader <> last").select("token", "leader"))
     some = _postings(docs, sketch, bitmap(leaders.select("token")))
     some = some.groupBy("token", "node").agg(*(F.max(c).alias(c) for c in ("n", "l", "place")))
-    return durable(some.join(leaders, "token"))
+    return some.join(leaders, "token")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -142,6 +147,24 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(links, "a long, b long")
 
 
+def _crossing(labelled: DataFrame) -> DataFrame:
+    """(a, b, matches, part, part2): pairs of nodes of different parts that may link."""
+    mixed = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
+    left = labelled.join(mixed, "token")
+    right = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "place", "part")))
+    possible = F.expr(
+        "node < node2 AND part <> part2 AND 4 * least(n, n2) >= 3 * greatest(n, n2) AND "
+        "7 * (least(place, place2) + 1 + least(n - place, n2 - place2) - 1) >= 3 * (n + n2)"
+    )
+    met = left.join(right, "token").where(possible).groupBy("node", "node2").agg(
+        F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2", "part", "part2"))
+    )
+    # what lies behind both prefixes can add no more than the longer rest
+    rest = f"greatest(n - {PREFIX.format('')}, n2 - {PREFIX.format('2')})"
+    enough = F.expr(f"matches >= least(l, l2) AND 7 * (matches + {rest}) >= 3 * (n + n2)")
+    return met.where(enough).select(F.col("node").alias("a"), F.col("node2").alias("b"), "matches", "part", "part2")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """Components of documents (doc_id, text) whose shingle sets have a Jaccard similarity of 0.75.
 
@@ -158,31 +181,29 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     First a node that shares many tokens with a leader (smallest node of a token) is compared with
     it, which joins large groups of near copies without their pairs; then only nodes of different
     components that share a token meet, under bounds by length, position, number of matches and
-    what the prefixes leave. Every pair is verified on its texts.
+    what the prefixes leave, and of those first one pair for each two components. Every pair is
+    verified on its texts.
     """
     rows, sketch = _scan(docs)
-    shared = _shared(docs, sketch)
+    folder = new_folder(docs.sparkSession, "jaccard_join")
+    shared = stored(_shared(docs, sketch), f"{folder}/shared")
     nominated = shared.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("count"), F.max("n").alias("n"), F.max("l").alias("l"))
     best = nominated.groupBy("node").agg(F.max(F.struct("count", "leader", "n", "l")).alias("best")).select("node", "best.*")
     best = best.where(f"7 * (count + n - {PREFIX.format('')}) >= 6 * n").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    stars = durable(_verified(best, rows, docs))
-    joined = durable(components(stars))
-    labelled = durable(shared.join(joined, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component", "leader"))
-    mixed = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
-    left = labelled.join(mixed, "token")
-    right = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "place", "part")))
-    possible = F.expr(
-        "node < node2 AND part <> part2 AND 4 * least(n, n2) >= 3 * greatest(n, n2) AND "
-        "7 * (least(place, place2) + 1 + least(n - place, n2 - place2) - 1) >= 3 * (n + n2)"
-    )
-    met = left.join(right, "token").where(possible).groupBy("node", "node2").agg(
-        F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2"))
-    )
-    # what lies behind both prefixes can add no more than the longer rest
-    rest = f"greatest(n - {PREFIX.format('')}, n2 - {PREFIX.format('2')})"
-    enough = F.expr(f"matches >= least(l, l2) AND 7 * (matches + {rest}) >= 3 * (n + n2)")
-    crossing = _verified(met.where(enough).select(F.col("node").alias("a"), F.col("node2").alias("b")), rows, docs)
-    found = components(durable(stars.union(crossing)))
+    links = durable(_verified(best, rows, docs))
+    labelled = shared.drop("leader").join(durable(components(links)), "node", "left")
+    labelled = stored(labelled.withColumn("part", F.coalesce("component", "node")).drop("component"), f"{folder}/parts")
+    met = stored(_crossing(labelled), f"{folder}/met")
+    # one pair for each two parts first: where it links, the others need not be looked at
+    sides = [F.least("part", "part2").alias("p"), F.greatest("part", "part2").alias("q")]
+    first = met.groupBy(*sides).agg(F.max(F.struct("matches", "a", "b")).alias("best")).select("best.a", "best.b")
+    links = durable(links.union(_verified(first, rows, docs)))
+    merged = durable(components(links))
+    for end in ("a", "b"):
+        met = met.join(merged.select(F.col("node").alias(end), F.col("component").alias(f"in_{end}")), end, "left")
+    apart = F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
+    links = links.union(_verified(met.where(apart).select("a", "b"), rows, docs))
+    found = components(durable(links))
     known = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("first")).join(found, "node", "left")
     nodes = nodes.withColumn("part", F.coalesce("component", "node"))
