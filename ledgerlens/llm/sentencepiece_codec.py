@@ -21,6 +21,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Model types of the trainer section.
 UNIGRAM, BPE = 1, 2
 WORD = re.compile(f"[ {SPACE}]+[^ {SPACE}]*|[^ {SPACE}]+")
+PLAIN = re.compile(f" [^ {SPACE}]+")
+ROW = 64
 PROBES = (
     "", " ", "  a  b", "The quick brown fox.", "Été à la plage,\nfaçade", "tab\there", "a" * 40,
     "漢字 한국어 \U0001f600", "<s> </s> <0x41> <unk>", "x" + " " * 23 + "y", "1234567890 %$#!",
@@ -92,8 +94,8 @@ class Codec:
 
     Where a model leaves texts as they are and has no piece that crosses the start of a word, a
     text is encoded word by word (a word with the spaces before it), and each distinct word is
-    given to the library once, in multithreaded batches; at most ``remembered`` words are kept.
-    Other models get whole texts.
+    given to the library once, many in a row and such rows in multithreaded batches; at most
+    ``remembered`` words are kept from one batch to the next. Other models get whole texts.
     """
 
     def __init__(self, model: bytes, remembered: int = 200_000) -> None:
@@ -102,6 +104,7 @@ class Codec:
         self.by_word = local and not any(SPACE in p.piece.lstrip(SPACE) for p in pieces if p.type == NORMAL)
         self.lead = " " if spec.add_dummy_prefix else ""
         self.library = build(model, prefix=not self.by_word)
+        self.leads = np.array([p.type == NORMAL and p.piece.startswith(SPACE) for p in pieces])
         self.remembered, self.ids, self.lossy = remembered, {}, set()
 
     def _learn(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
@@ -109,6 +112,22 @@ class Codec:
         back = self.library.decode_batch(ids, skip_special_tokens=False)
         return ids, [a == b for a, b in zip(texts, back, strict=True)]
 
+    def _remember(self, words: list[str]) -> None:
+        """Words with one space before them go to the library in rows, cut again where a word starts."""
+        plain, alone = [], []
+        for w in words:
+            (plain if PLAIN.fullmatch(w) else alone).append(w)
+        rows = [plain[at : at + ROW] for at in range(0, len(plain), ROW)]
+        for row, ids, ok in zip(rows, *self._learn(["".join(r) for r in rows]), strict=True):
+            starts = np.flatnonzero(self.leads[ids])
+            if ok and len(starts) == len(row):
+                self.ids.update((w, ids[a:b]) for w, a, b in zip(row, starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True))
+            else:
+                alone += row
+        ids, same = self._learn(alone)
+        self.ids.update(zip(alone, ids, strict=True))
+        self.lossy.update(w for w, ok in zip(alone, same, strict=True) if not ok)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
         """Flat ids, the texts' offsets in them, and round trips."""
         if not self.by_word:
@@ -118,10 +137,7 @@ class Codec:
         words = [WORD.findall(self.lead + t) if t else [] for t in texts]
         if len(self.ids) > self.remembered:
             self.ids, self.lossy = {}, set()
-        new = list(set(chain.from_iterable(words)).difference(self.ids))
-        ids, same = self._learn(new)
-        self.ids.update(zip(new, ids, strict=True))
-        self.lossy.update(w for w, ok in zip(new, same, strict=True) if not ok)
+        self._remember(list(set(chain.from_iterable(words)).difference(self.ids)))
         parts = [list(chain.from_iterable(map(self.ids.__getitem__, w))) for w in words]
         same = [self.lossy.isdisjoint(w) for w in words] if self.lossy else [True] * len(words)
         flat = np.concatenate([np.array(p, np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
