@@ -11,7 +11,8 @@ from ledgerlens.operators import vectors as D
 from ledgerlens.operators.context import ANSWER_HEAD
 from ledgerlens.operators.embedding import hash_embedding
 from ledgerlens.plans.answering import answer_queries, query_outputs
-from ledgerlens.session import durable
+from ledgerlens.plans.evaluation import evaluate_answers, write_evaluation
+from ledgerlens.session import durable, new_folder
 
 from .views import table, view, with_views
 
@@ -353,6 +354,38 @@ def text_metrics(spark, d):
     )
 
 
+def evaluated(spark, d):
+    """Judgments through the whole flow to metrics, written as JSON and read back."""
+    texts = view(spark, d, "text_queries")
+    raw = judgments(spark, d).join(texts, "query_id").select(
+        "query_id", "query_text", F.col("chunk_id").alias("relevant_chunk_id"), F.col("label").alias("relevance_label")
+    )
+    columns = ["company_id", "chunk_index", "chunk_text"]
+    result = evaluate_answers(raw, _index(spark, d, True), embed_query=hash_embedding, columns=columns)
+    root = new_folder(spark, "evaluation")
+    write_evaluation(result, root)
+    kept = spark.read.schema(result["per_query"].schema).json(f"{root}/per_query")
+    return kept.select(
+        "query_id", "num_gold_chunks", "retrieved_count", "hit_rate", F.round("mrr", 6).alias("mrr"),
+        F.round("ndcg", 6).alias("ndcg"), F.array_join("rewritten_queries", "|").alias("rewrites"),
+        F.size("filters").alias("n_filters"),
+    )
+
+
+EVALUATED_SQL = f"""
+    SELECT g.query_id, g.n AS num_gold_chunks, coalesce(h.n, 0) AS retrieved_count,
+           CASE WHEN first_pos IS NULL THEN 0.0 ELSE 1.0 END AS hit_rate,
+           round(coalesce(1.0 / first_pos, 0.0), 6) AS mrr, round(coalesce(dcg, 0) / ideal, 6) AS ndcg,
+           p.query_text AS rewrites, 0 AS n_filters
+    FROM (SELECT query_id, count(*) AS n FROM judged GROUP BY 1) g JOIN plain_queries p ON p.query_id = g.query_id
+    LEFT JOIN (SELECT x.query_id, count(*) AS n, sum((pow(2, coalesce(label, 0)) - 1) / log2(p3 + 1)) AS dcg,
+                      min(p3) FILTER (label >= 2) AS first_pos
+               FROM context10 x LEFT JOIN judged j ON x.query_id = j.query_id AND x.chunk_id = j.chunk_id
+               GROUP BY 1) h ON h.query_id = g.query_id
+    JOIN (SELECT query_id, sum((pow(2, label) - 1) / log2(rk + 1)) AS ideal
+          FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY label DESC) AS rk FROM judged)
+          WHERE rk <= 10 GROUP BY 1) i ON i.query_id = g.query_id"""
+
 QUERIES = {
     "term_stats": (
         term_stats,
@@ -367,6 +400,7 @@ QUERIES = {
     "probed_topk": (probed, sql(f"SELECT * FROM ({PROBED_SQL})")),
     "hybrid_topk": (retrieve("HYBRID"), sql("SELECT * FROM fused")),
     "filtered_rewrites": (rewrites, sql(REWRITES_SQL)),
+    "evaluate_answers": (evaluated, sql(EVALUATED_SQL)),
     "answer_queries": (answered, sql(ANSWERED_SQL)),
     "text_judgments": (judgments, sql("SELECT query_id, chunk_id, CAST(label AS INT) AS label FROM judged")),
     "text_search_metrics": (text_metrics, sql("SELECT * FROM text_metrics")),

@@ -54,8 +54,8 @@ VIEWS: dict[str, str] = {
                    AS _fivetran_deleted
         FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey JOIN {part} ON p_partkey = l_partkey""",
     "company_keywords": """
-        SELECT DISTINCT CAST(o_custkey AS STRING) AS company_id, substr(p_brand, 1, 7) AS keywords,
-               CASE substr(p_brand, 1, 7) WHEN 'Brand#5' THEN true WHEN 'Brand#4' THEN NULL
+        SELECT DISTINCT CAST(o_custkey AS STRING) AS company_id, p_brand AS keywords,
+               CASE p_brand WHEN 'Brand#5' THEN true WHEN 'Brand#4' THEN NULL
                     ELSE false END AS _fivetran_deleted
         FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey JOIN {part} ON p_partkey = l_partkey""",
     "deals_investors": """
