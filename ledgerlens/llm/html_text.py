@@ -52,7 +52,8 @@ class Paths:
         key = (path, tag, attributes if "=" in attributes else "")
         if key not in self.known:
             names = " ".join(a or b or c for a, b, c in NAMES.findall(key[2])).lower()
-            own = (f"tag:{tag}", *(f"name:{w}" for w in dict.fromkeys(PART.findall(names))))
+            inside = not {"tag:article", "tag:main"}.isdisjoint(self.marks[path])
+            own = (f"tag:{tag}", f"{'inner' if inside else 'outer'}:{tag}", *(f"name:{w}" for w in dict.fromkeys(PART.findall(names))))
             self.known[key] = len(self.tag)
             self.parent.append(path)
             self.tag.append(tag)
@@ -133,12 +134,12 @@ def _level(x: float, cuts: Sequence[float]) -> int:
     return sum(x > c for c in cuts)
 
 
-def text_marks(block: Block, place: int, count: int) -> list[str]:
+def text_marks(block: Block) -> list[str]:
     n = len(block.text)
     return [
         f"size:{_level(n, (15, 40, 80, 160, 320))}", f"words:{_level(block.text.count(' ') + 1, (1, 3, 8, 20, 50))}",
         f"links:{_level(block.link / n, (0.01, 0.3, 0.7))}", f"stop:{block.text[-1] in '.!?…。'}",
-        f"sign:{any(c in block.text for c in '©®™')}", f"place:{_level(place / max(1, count - 1), (0.05, 0.2, 0.8, 0.95))}",
+        f"sign:{any(c in block.text for c in '©®™')}",
     ]
 
 
@@ -151,8 +152,8 @@ class Field:
 
     def ids(self, blocks: list[Block], paths: Paths) -> list[list[int]]:
         out = []
-        for i, block in enumerate(blocks):
-            names = (*paths.marks[block.path], f"leaf:{paths.tag[block.path]}", *text_marks(block, i, len(blocks)))
+        for block in blocks:
+            names = (*paths.marks[block.path], f"leaf:{paths.tag[block.path]}", *text_marks(block))
             out.append([self.marks[n] for n in names if n in self.marks])
         return out
 
@@ -166,7 +167,7 @@ class Field:
             if block.path not in paths.sums:
                 names = (*paths.marks[block.path], f"leaf:{paths.tag[block.path]}")
                 paths.sums[block.path] = self.weights[[self.marks[n] for n in names if n in self.marks]].sum(0)
-            own = [self.marks[n] for n in text_marks(block, i, len(blocks)) if n in self.marks]
+            own = [self.marks[n] for n in text_marks(block) if n in self.marks]
             out[i] = paths.sums[block.path] + self.weights[own].sum(0)
         return out
 
@@ -216,8 +217,8 @@ def train(pages: Sequence[tuple[str, Sequence[int]]], *, epochs: int = 6, rate:
     for blocks, labels in parsed:
         if len(blocks) != len(labels):
             raise ValueError(f"{len(blocks)} blocks with {len(labels)} labels")
-        for i, b in enumerate(blocks):
-            for n in (*paths.marks[b.path], f"leaf:{paths.tag[b.path]}", *text_marks(b, i, len(blocks))):
+        for b in blocks:
+            for n in (*paths.marks[b.path], f"leaf:{paths.tag[b.path]}", *text_marks(b)):
                 names.setdefault(n, len(names))
     model = Field(names)
     ready = [(model.ids(blocks, paths), labels) for blocks, labels in parsed if blocks]
@@ -248,6 +249,7 @@ OTHER_NAMES = {
     "comment": "comment comments commentlist discussion replies reply respond thread disqus feedback reactions guestbook",
     "share": "share sharing social tags meta author byline metadata tools toolbar buttons",
 }
+AROUND_NAMES = "page wrapper container site body content layout root app wrap outer"
 MAIN_NAMES = "article content main post entry story body text page maincontent articlebody richtext"
 SYLLABLES = "an be co da el fi ga ho in jo ka le mi no or pa qui ra so ta un ve wo xi ya zu é ção ñ über straße".split()
 
@@ -297,7 +299,7 @@ def labelled_pages(count: int, seed: int = 1) -> list[tuple[str, list[int]]]:
             elif kind == "footer":
                 parts.append(f"<p>&copy; {words(3)} &middot; {sentence(rng.randint(2, 15))}</p>")
             else:
-                shape = rng.choice(("p", "div", "p", "h3", "li"))
+                shape = rng.choice(("p", "div", "p", "h3", "li", *(("h1", "h1") if kind == "header" else ())))
                 parts.append(f"<{shape}>{' '.join(sentence(rng.randint(1, 22)) for _ in range(rng.choice((1, 1, 2, 4))))}</{shape}>")
         if rng.random() < 0.3:
             return f"<{tag}{names}>{sentence(rng.randint(2, 25))}</{tag}>", [0]
@@ -314,32 +316,39 @@ def labelled_pages(count: int, seed: int = 1) -> list[tuple[str, list[int]]]:
             out.append(part)
             labels.extend(own)
 
+        around = f"<div{rng.choice((' id', ' class'))}='{rng.choice(AROUND_NAMES.split())}'>" if rng.random() < 0.35 else ""
+        if around:
+            put(around, [])
         for kind in ("header", "nav", "notice", "ad", "form"):
             if rng.random() < 0.55:
                 put(*other(kind))
         shell = rng.choice(("article", "article", "article", "main", "div", "section", ""))
         if shell:
             put(f"<{shell}{named('main') if shell in ('div', 'section') or rng.random() < 0.3 else ''}>", [])
-        if rng.random() < 0.8:
+        if rng.random() < 0.7:
             head = f"<h1>{words(rng.randint(2, 12))}</h1>"
             wrapped = shell == "article" and rng.random() < 0.2
-            put(f"<header>{head}</header>" if wrapped else head, [1])
+            line = f"<p{named('share')}>{words(rng.randint(1, 5))}</p>" if shell and rng.random() < 0.3 else ""
+            put(f"<header>{head}{line}</header>" if wrapped else head + line, [1, 0] if line else [1])
         if shell and rng.random() < 0.15:
             put(*other("share"))
-        for _ in range(rng.choice((1, 2, 3, 5, 8, 14))):
+        for _ in range(rng.choice((1, 1, 2, 3, 5, 8, 14))):
             roll = rng.random()
-            if roll < 0.8:
+            if roll < 0.74:
                 part, label = paragraph()
                 put(part, [label])
-            elif roll < 0.86:
+            elif roll < 0.8:
                 put(f"<h2>{words(rng.randint(1, 6))}</h2>", [1])
-            elif roll < 0.9:
+            elif roll < 0.84:
                 n = rng.randint(1, 4)
                 put(f"<ul>{''.join(f'<li>{sentence(rng.randint(1, 14))}</li>' for _ in range(n))}</ul>", [1] * n)
-            elif roll < 0.93:
-                put(f"<blockquote>{sentence(12)}</blockquote>", [1])
+            elif roll < 0.88:
+                shape = rng.choice(("blockquote", "pre", "table"))
+                n = rng.randint(1, 6) if shape == "table" else 1
+                cells = f"<tr>{''.join(f'<td>{words(rng.randint(1, 6))}</td>' for _ in range(n))}</tr>"
+                put(f"<{shape}>{cells if shape == 'table' else sentence(12)}</{shape}>", [1] * n)
             elif shell:
-                put(*other(rng.choice(("ad", "aside", "share", "notice", "form"))))
+                put(*other(rng.choice(("ad", "aside", "aside", "share", "notice", "form", "footer"))))
         if shell and rng.random() < 0.25:
             put(*other("comment"))
         if shell:
@@ -347,11 +356,13 @@ def labelled_pages(count: int, seed: int = 1) -> list[tuple[str, list[int]]]:
         for kind in ("comment", "aside", "ad", "footer"):
             if rng.random() < 0.55:
                 put(*other(kind))
+        if around:
+            put("</div>", [])
         pages.append((f"<html><head><title>{words(3)}</title></head><body>{''.join(out)}</body></html>", labels))
     return pages
 
 
-def extracted(pages: DataFrame, model: Field | None = None, *, pages_to_learn: int = 800) -> DataFrame:
+def extracted(pages: DataFrame, model: Field | None = None, *, pages_to_learn: int = 1200) -> DataFrame:
     """Main text of every row of ``pages`` (html): all columns but text and n_chars of its own, and these.
 
     Blocks are runs of text between block-level tags; scripts, styles, the head and comments are no
