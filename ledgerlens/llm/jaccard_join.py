@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.session import durable, new_folder, stored
@@ -104,9 +104,9 @@ def _postings(docs: DataFrame, sketch: np.ndarray, only: np.ndarray | None = Non
 
 
 def _shared(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """The postings of tokens that several nodes have, with the smallest such node as leader."""
+    """The postings of tokens that several nodes have, with the smallest and largest such node."""
     leaders = _postings(docs, sketch).groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    leaders = durable(leaders.where("leader <> last").select("token", "leader"))
+    leaders = durable(leaders.where("leader <> last"))
     some = _postings(docs, sketch, bitmap(leaders.select("token")))
     some = some.groupBy("token", "node").agg(*(F.max(c).alias(c) for c in ("n", "l", "place")))
     return some.join(leaders, "token")
@@ -147,6 +147,35 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(links, "a long, b long")
 
 
+def _enough() -> Column:
+    """Whether a pair with ``matches`` tokens in both prefixes can be similar.
+
+    It has as many as the shorter demand, and what lies behind both prefixes can add no more
+    than the longer rest.
+    """
+    rest = f"greatest(n - {PREFIX.format('')}, n2 - {PREFIX.format('2')})"
+    return F.expr(f"matches >= least(l, l2) AND 7 * (matches + {rest}) >= 3 * (n + n2)")
+
+
+def _led(shared: DataFrame) -> DataFrame:
+    """(a, b): every node with the leaders that most of its tokens name, one of each kind.
+
+    Members of a large group of near copies are mostly similar to both, which makes one component
+    of them without their pairs.
+    """
+    pairs = None
+    for kind in ("leader", "last"):
+        named = shared.where(f"node <> {kind}").groupBy("node", F.col(kind).alias("node2")).count()
+        best = named.groupBy("node").agg(F.max(F.struct("count", "node2")).alias("best")).select("node", "best.node2")
+        pairs = best if pairs is None else pairs.union(best)
+    own = pairs.distinct().join(shared.select("node", "token", "n", "l"), "node")
+    other = shared.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l")))
+    met = own.join(other, ["token", "node2"]).groupBy("node", "node2").agg(
+        F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2"))
+    )
+    return met.where(_enough()).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+
+
 def _crossing(labelled: DataFrame) -> DataFrame:
     """(a, b, matches, part, part2): pairs of nodes of different parts that may link."""
     mixed = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
@@ -159,10 +188,7 @@ def _crossing(labelled: DataFrame) -> DataFrame:
     met = left.join(right, "token").where(possible).groupBy("node", "node2").agg(
         F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2", "part", "part2"))
     )
-    # what lies behind both prefixes can add no more than the longer rest
-    rest = f"greatest(n - {PREFIX.format('')}, n2 - {PREFIX.format('2')})"
-    enough = F.expr(f"matches >= least(l, l2) AND 7 * (matches + {rest}) >= 3 * (n + n2)")
-    return met.where(enough).select(F.col("node").alias("a"), F.col("node2").alias("b"), "matches", "part", "part2")
+    return met.where(_enough()).select(F.col("node").alias("a"), F.col("node2").alias("b"), "matches", "part", "part2")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -178,8 +204,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     Method: shingles are ordered by estimated frequency (a sketch of fixed size, summed over all
     texts), then by hash. A document posts a prefix that is longer, and asks for as many shared
     tokens more, where the estimated lists are long. Copies are one node. Tokens of one node go.
-    First a node that shares many tokens with a leader (smallest node of a token) is compared with
-    it, which joins large groups of near copies without their pairs; then only nodes of different
+    First a node is compared with two leaders (smallest and largest node of most of its tokens), which
+    joins large groups of near copies without their pairs; then only nodes of different
     components that share a token meet, under bounds by length, position, number of matches and
     what the prefixes leave, and of those first one pair for each two components. Every pair is
     verified on its texts.
@@ -187,11 +213,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     rows, sketch = _scan(docs)
     folder = new_folder(docs.sparkSession, "jaccard_join")
     shared = stored(_shared(docs, sketch), f"{folder}/shared")
-    nominated = shared.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("count"), F.max("n").alias("n"), F.max("l").alias("l"))
-    best = nominated.groupBy("node").agg(F.max(F.struct("count", "leader", "n", "l")).alias("best")).select("node", "best.*")
-    best = best.where(f"7 * (count + n - {PREFIX.format('')}) >= 6 * n").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    links = durable(_verified(best, rows, docs))
-    labelled = shared.drop("leader").join(durable(components(links)), "node", "left")
+    links = durable(_verified(_led(shared), rows, docs))
+    labelled = shared.drop("leader", "last").join(durable(components(links)), "node", "left")
     labelled = stored(labelled.withColumn("part", F.coalesce("component", "node")).drop("component"), f"{folder}/parts")
     met = stored(_crossing(labelled), f"{folder}/met")
     # one pair for each two parts first: where it links, the others need not be looked at
