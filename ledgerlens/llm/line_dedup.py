@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from ledgerlens.session import durable
 
 LEAST_WORDS = 8
+#: Base of the keys of runs, odd and 3 modulo 4, and its inverse modulo 2^64.
+BASE = 0x9E3779B97F4A7C1B
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def _once(lines: list[int], a: int, b: int) -> dict[int, int]:
@@ -27,7 +31,7 @@ def patience(x: list[int], y: list[int]) -> list[tuple[int, int]]:
 
     Equal ends are matched first; between them, lines that occur once in both sequences are
     anchors where they keep their order (the longest such chain), and the gaps between anchors
-    are aligned in the same way. A gap without anchors is left alone.
+    are aligned in the same way. A gap without anchors is left alone (``common_blocks`` sees to it).
     """
     found: list[tuple[int, int]] = []
     gaps = [(0, len(x), 0, len(y))]
@@ -62,8 +66,48 @@ def patience(x: list[int], y: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def shortest_runs(lines: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and keys of the shortest runs of ``least`` words from each line on, and up to each line.
+
+    Document k has the lines from ``offsets[k]`` up to ``offsets[k + 1]``; runs stay within one. Every line of
+    a block of ``least`` words lies in one of these runs inside of the block. Equal runs have equal keys.
+    """
+    n, least = len(lines), max(least, 1)
+    words = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+    lengths = np.diff(offsets)
+    first, stop = np.repeat(offsets[:-1], lengths), np.repeat(offsets[1:], lengths)
+    places = np.arange(n)
+    ends = np.searchsorted(words, words[:-1] + least, "left")
+    starts = np.searchsorted(words, words[1:] - least, "right") - 1
+    down, up = ends <= stop, starts >= first
+    pairs = np.unique(np.concatenate([places[down] * (n + 1) + ends[down], starts[up] * (n + 1) + places[up] + 1]))
+    starts, ends = np.divmod(pairs, n + 1)
+    powers, inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)])) for x in (BASE, INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((lines.astype(np.int64).view(np.uint64) + np.uint64(BASE)) * powers[:n], dtype=np.uint64)])
+    return starts, ends, ((sums[ends] - sums[starts]) * inverse[starts]).view(np.int64)
+
+
+def _left_over(own: list[int], other: list[int], sizes: list[int], least: int, out: list[int]) -> set[int]:
+    """Places in ``own`` of all common blocks, where lines besides ``out`` can lie in one."""
+    held, gone = set(other), set(out)
+    both = [line in held for line in own] + [False]
+    if not any(both[i] and i not in gone and (sizes[i] >= least or both[i - 1] or both[i + 1]) for i in range(len(own))):
+        return set()
+    size = dict(zip(own, sizes, strict=True))
+    starts, ends, keys = shortest_runs(np.array(own, np.int64), np.array(sizes), np.array([0, len(own)]), least)
+    others = np.array([size.get(line, least) for line in other])
+    common = np.isin(keys, shortest_runs(np.array(other, np.int64), others, np.array([0, len(other)]), least)[2])
+    # a difference array, as runs over many blank lines overlap
+    edges = np.bincount(starts[common], minlength=len(own) + 1) - np.bincount(ends[common], minlength=len(own) + 1)
+    return set(np.flatnonzero(np.cumsum(edges)).tolist())
+
+
 def common_blocks(own: list[int], other: list[int], sizes: list[int], least: int) -> list[int]:
-    """Places in ``own`` of aligned blocks (neighbours in both) that hold ``least`` words or more."""
+    """Places in ``own`` of the lines in common blocks (neighbours in both) of ``least`` words or more.
+
+    Patience diff aligns the two; blocks that it can't align (repeated in one of them, or in
+    another order) are then found by their shortest runs of ``least`` words.
+    """
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
@@ -74,7 +118,7 @@ def common_blocks(own: list[int], other: list[int], sizes: list[int], least: int
             block = []
         block.append(i)
         last = (i, j)
-    return out
+    return sorted(_left_over(own, other, sizes, least, out).union(out))
 
 
 def _lines(text: Column) -> Column:
@@ -119,8 +163,8 @@ def dedup_lines(docs: DataFrame, *, least_words: int = LEAST_WORDS) -> DataFrame
     holder of smallest doc_id as partner of the others, so partners grow with lines, not with the square of a
     group. A document meets its partners from the one that its rarest line names on; a
     partner is skipped once the lines that named it are gone. The two are aligned by patience
-    diff, and aligned blocks of ``least_words`` words or more go. Frequent lines are not cut
-    off: that would lose large groups of copies.
+    diff, and common blocks of ``least_words`` words or more go, also those that are repeated or whose order
+    crosses. Frequent lines are not cut off: that would lose large groups of copies.
 
     Texts are judged as given. Blank lines name nobody, but go inside a block. Null texts stay null with
     0 removed; empty texts, and rows with a null doc_id, stay as they are; a document

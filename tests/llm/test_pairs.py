@@ -147,6 +147,30 @@ def test_patience():
     assert common_blocks([1, 2, 3], [1, 2, 4], [4, 4, 9], 8) == [0, 1]
 
 
+def in_common_blocks(own, other, sizes, least):
+    """Every run of lines of ``own``, looked for at every place of ``other``."""
+    gone = set()
+    for a in range(len(own)):
+        for b in range(a + 1, len(own) + 1):
+            run = own[a:b]
+            if sum(sizes[a:b]) >= least and any(other[k : k + b - a] == run for k in range(len(other))):
+                gone.update(range(a, b))
+    return sorted(gone)
+
+
+def test_common_blocks_repeated_or_crossing():
+    p, x, y, z, w = 60, 1, 2, 3, 4
+    assert common_blocks([z, p, w], [p, x, p, y], [1, 60, 1], 8) == [1]
+    assert common_blocks([p, x, p, y], [z, p, w], [60, 1, 60, 1], 8) == [0, 2]
+    assert common_blocks([1, 2, 3, 4], [3, 4, 1, 2], [8, 8, 8, 8], 8) == [0, 1, 2, 3]
+    rng = random.Random(5)
+    for _ in range(1500):
+        kinds, size = rng.choice((3, 6, 12)), [0, *(rng.choice((1, 3, 5, 9)) for _ in range(12))]
+        own, other = ([rng.randrange(kinds) for _ in range(rng.randrange(14))] for _ in range(2))
+        sizes = [size[line] for line in own]
+        assert common_blocks(own, other, sizes, 8) == in_common_blocks(own, other, sizes, 8), (own, other, sizes)
+
+
 def test_dedup_lines(spark, corpus):
     found = {r.doc_id: (r.lines_removed, r.text) for r in dedup_lines(spark.createDataFrame(corpus, DOCS).repartition(6)).collect()}
     lines = {i: [x if x.strip(" ") else "" for x in t.split("\n")] for i, t in corpus if t is not None}
