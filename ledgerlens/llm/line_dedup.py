@@ -125,6 +125,31 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def _runs(least: int):
+    """Keys of the shortest runs of each document, with their spans: start and end as one number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, version, lines, sizes = batch.columns
+            offsets = lines.offsets.to_numpy().astype(np.int64)
+            offsets -= offsets[0]
+            starts, ends, keys = shortest_runs(lines.flatten().to_numpy(), sizes.flatten().to_numpy(), offsets, least)
+            of = np.searchsorted(offsets, starts, "right") - 1
+            spans = (starts - offsets[of]) << 32 | (ends - offsets[of])
+            yield pa.record_batch([doc.take(pa.array(of)), version.take(pa.array(of)), pa.array(keys), pa.array(spans)], ["doc_id", "version", "run", "span"])
+
+    return run
+
+
+def _covered(spans: list[int]) -> Iterator[int]:
+    """Places in any of the spans, each once."""
+    upto = 0
+    for span in sorted(spans):
+        start, end = span >> 32, span & 0xFFFFFFFF
+        yield from range(max(start, upto), end)
+        upto = max(upto, end)
+
+
 def _aligned(least: int):
     """Removed lines of each document, whose rows (one for each partner) follow each other."""
 
@@ -138,13 +163,12 @@ def _aligned(least: int):
             return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["doc_id", "version", "removed"])
 
         for batch in batches:
-            for doc, version, lines, words, shared, partner in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, version, lines, words, spans, partner in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (doc, version) != current:
                     if current:
                         done.append((current, gone))
                     current, gone, own, sizes = (doc, version), set(), lines, words
-                naming = set(shared)
-                if not all(i in gone for i, line in enumerate(own) if line in naming):
+                if not all(i in gone for i in _covered(spans)):
                     gone.update(common_blocks(own, partner, sizes, least))
             yield finished()
         if current:
@@ -159,20 +183,21 @@ def dedup_lines(docs: DataFrame, *, least_words: int = LEAST_WORDS) -> DataFrame
 
     Returns all columns of ``docs`` (doc_id, text among them; lines_removed of its own is replaced)
     with ``text`` joined from the lines that stay and ``lines_removed``. Lines end at ``\\n`` and
-    are equal if all their characters are. Every line that several documents hold names its
-    holder of smallest doc_id as partner of the others, so partners grow with lines, not with the square of a
-    group. A document meets its partners from the one that its rarest line names on; a
-    partner is skipped once the lines that named it are gone. The two are aligned by patience
+    are equal if all their characters are. Every shortest run of ``least_words`` words (from a line on, or up to a
+    line) that several documents hold names its holder of smallest doc_id as partner of the others, so partners
+    grow with lines, not with the square of a group, and every block that any earlier document holds has
+    partners for all of its lines. A document meets its partners from the one that its rarest run names on; a
+    partner is skipped once the runs that named it are gone. The two are aligned by patience
     diff, and common blocks of ``least_words`` words or more go, also those that are repeated or whose order
-    crosses. Frequent lines are not cut off: that would lose large groups of copies.
+    crosses. Frequent runs are not cut off: that would lose large groups of copies.
 
-    Texts are judged as given. Blank lines name nobody, but go inside a block. Null texts stay null with
+    Texts are judged as given. Blank lines alone name nobody, but go inside a block. Null texts stay null with
     0 removed; empty texts, and rows with a null doc_id, stay as they are; a document
     of which all goes keeps its row with an empty text. Rows repeated under one doc_id aren't
     partners of each other, and each is judged by its own text. An empty table gives no rows.
 
-    Only hashes of lines are shuffled to find and align partners; counts and holders are summed
-    before their shuffle, and the joins are ones that Spark can split at a hot line or holder.
+    Only hashes of lines and runs are shuffled to find and align partners; counts and holders are summed
+    before their shuffle, and the joins are ones that Spark can split at a hot run or holder.
     Texts move once, to lose their lines.
     """
     text = _lines(F.col("text"))
@@ -183,14 +208,14 @@ def dedup_lines(docs: DataFrame, *, least_words: int = LEAST_WORDS) -> DataFrame
         F.transform(text, lambda x: F.when(F.trim(x) == "", F.lit(0)).otherwise(F.size(F.split(F.trim(x), " +")))).alias("sizes"),
     )
     sized = durable(sized.dropDuplicates(["doc_id", "version"]))
-    held = sized.select("doc_id", "version", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
-    holders = held.groupBy("line").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
-    named = held.join(holders.where("holder <> last").drop("last"), "line").where("doc_id <> holder")
-    named = named.groupBy("doc_id", "version", "holder").agg(F.min("n").alias("rarity"), F.collect_set("line").alias("shared"))
+    runs = sized.select("doc_id", "version", "lines", "sizes").mapInArrow(_runs(least_words), "doc_id long, version long, run long, span long")
+    holders = runs.groupBy("run").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    named = runs.join(holders.where("holder <> last").drop("last"), "run").where("doc_id <> holder")
+    named = named.groupBy("doc_id", "version", "holder").agg(F.min("n").alias("rarity"), F.collect_list("span").alias("spans"))
     partners = sized.groupBy(F.col("doc_id").alias("holder")).agg(F.min_by("lines", "version").alias("partner"))
     pairs = named.join(partners, "holder").join(sized, ["doc_id", "version"])
     rows = pairs.repartition("doc_id").sortWithinPartitions("doc_id", "version", "rarity", "holder")
-    removed = rows.select("doc_id", "version", "lines", "sizes", "shared", "partner").mapInArrow(
+    removed = rows.select("doc_id", "version", "lines", "sizes", "spans", "partner").mapInArrow(
         _aligned(least_words), "doc_id long, version long, removed array<int>"
     )
     # names that no column of the documents has

@@ -193,6 +193,24 @@ def test_dedup_lines(spark, corpus):
     assert sum(n for n, _ in found.values()) > 300
 
 
+def test_dedup_lines_against_all_earlier_holders(spark):
+    short = [f"a{k} b{k} c{k}" for k in range(20)]
+    scattered = "\n".join(f"{x}\nfiller{k}" for k, x in enumerate(short))
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame([(1, scattered), (2, "\n".join(short)), (3, "\n".join(short))], DOCS)).collect()}
+    assert got == {1: scattered, 2: "\n".join(short), 3: ""}
+    rng = random.Random(6)
+    kinds = [""] + [" ".join(f"k{k}" for _ in range(rng.choice((1, 2, 3, 5, 9)))) for k in range(15)]
+    texts = {i: [rng.choice(kinds) for _ in range(rng.randrange(1, 16))] for i in range(150)}
+    rows = spark.createDataFrame([(i, "\n".join(x)) for i, x in texts.items()], DOCS).repartition(5)
+    got = {r.doc_id: r.text for r in dedup_lines(rows).collect()}
+    runs = set()
+    for i, own in texts.items():
+        spans = [(a, b) for a in range(len(own)) for b in range(a + 1, len(own) + 1) if len(" ".join(own[a:b]).split()) >= 8]
+        gone = {k for a, b in spans if tuple(own[a:b]) in runs for k in range(a, b)}
+        runs.update(tuple(own[a:b]) for a, b in spans)
+        assert got[i] == "\n".join(x for k, x in enumerate(own) if k not in gone), i
+
+
 def test_dedup_lines_odd_rows(spark):
     line = "a line of eight words that comes again"
     rows = [(None, line, "x", "v"), (4, line, None, "v"), (4, line + "\nmore", "x", "v"), (6, "head\n\n" + line, "x", None)]
