@@ -28,9 +28,14 @@ def words(text: Column) -> Column:
     return F.transform(_parts(F.split(text, BREAK_UNFOLDED)), ascii_lower)
 
 
+def _folded(text: Column) -> Column:
+    """Lower-cased, letter by letter: the small form of a capital sigma hangs on its neighbours otherwise."""
+    return F.replace(F.lower(text), F.lit("\u03c2"), F.lit("\u03c3"))
+
+
 def _loose_words(text: Column) -> Column:
     """As many words as ``words`` gives, folded further than A-Z: quicker, and equal where those are."""
-    return _parts(F.split(F.lower(text), BREAK))
+    return _parts(F.split(_folded(text), BREAK))
 
 
 def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
@@ -48,7 +53,7 @@ def _anchored(windows: DataFrame, counts: DataFrame, folder: str) -> DataFrame:
     Windows with a word that no document holds are left out.
     """
     windows = stored(windows.withColumn("window_id", F.monotonically_increasing_id()), f"{folder}/windows")
-    tokens = windows.select("window_id", F.posexplode(F.transform("words", F.lower)).alias("place", "word"))
+    tokens = windows.select("window_id", F.posexplode(F.transform("words", _folded)).alias("place", "word"))
     rare = tokens.join(counts, "word", "left").groupBy("window_id").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("rarest")
     ).where("rarest.n > 0")
@@ -73,7 +78,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, size: int = 13,
     folder = new_folder(documents.sparkSession, "decontamination")
     loose = documents.select("doc_id", _loose_words(F.col("text")).alias("w"))
     windows = item_windows(benchmark, size)
-    asked = stored(windows.select(F.explode(F.transform("words", F.lower)).alias("word")).distinct(), f"{folder}/words")
+    asked = stored(windows.select(F.explode(F.transform("words", _folded)).alias("word")).distinct(), f"{folder}/words")
     counts = loose.select(F.explode("w").alias("word")).join(asked, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     anchored = _anchored(windows, counts, folder)
     prefixes = anchored.select("word", "place", F.size("words").alias("k"), "window_id")

@@ -83,6 +83,16 @@ def test_contamination(spark):
     assert {r.n_hit for r in contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def test_contamination_of_capital_sigma(spark):
+    upper, small = "\u039f\u0394\u039f\u03a3", "\u03bf\u03b4\u03bf\u03c2"
+    docs = spark.createDataFrame([(1, f"{upper}.AB"), (2, f"{upper}'ab"), (3, f"{upper} AB"), (4, f"{small} ab")], "doc_id long, text string")
+    for item in (f"{upper} ab", f"{upper}.AB"):
+        items = spark.createDataFrame([(1, item)], "item_id long, text string")
+        assert {r.doc_id: r.n_hit for r in contamination(docs, items).collect()} == {1: 2, 2: 2, 3: 2, 4: 0}
+    # alone in the table, its words would count 0
+    assert [r.n_hit for r in contamination(docs.where("doc_id = 1"), items).collect()] == [2]
+
+
 # pages
 
 def extract(model, page):
