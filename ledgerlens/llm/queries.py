@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language_id, quality, sql
+from .conversation_repair import damaged, repair, with_all
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
+from .exact_dedup import exact_groups
 from .html_text import extracted
 from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
+from .merkle_manifest import COLUMNS, folded, leaf_digest, manifest, path_digest
 from .sampling import held_out
 from .sentencepiece_codec import encode
 from .suffix_dedup import remove_repeats
-from .url_reputation import Rule, filter_urls
+from .url_reputation import Rule, ascii_lower, filter_urls
 
 URL_RULES = (
     Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"),
@@ -103,6 +106,30 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and path digest of every document; texts of a third are folded to lower case and found out."""
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    altered = leaf_digest(*(ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in COLUMNS))
+    suspect = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, altered)
+    tree = manifest(docs.withColumn("suspect", suspect), carry=["suspect"])
+    found = tree.select(
+        "doc_id", "leaf", "subroot", "root", path_digest(F.col("path")).alias("proof_sha256"),
+        folded(F.coalesce("suspect", "leaf"), F.col("path")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, kept row and digest of every document."""
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return with_all(repair(damaged(rows)), rows)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_line_dedup": (op1_line_dedup, None),
     "op2_html_text": (op2_html_text, None),
@@ -114,4 +141,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_decontamination": (op9_decontamination, sql.DECONTAMINATION),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, sql.MERKLE_MANIFEST),
+    "op12_exact_dedup": (op12_exact_dedup, sql.EXACT_DEDUP),
+    "op13_conversation_repair": (op13_conversation_repair, sql.CONVERSATION_REPAIR),
 }

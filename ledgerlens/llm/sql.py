@@ -101,3 +101,98 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings LEFT JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id
 """
+
+EXACT_DEDUP = r"""
+WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+    g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, {'n': -n, 'id': doc_id}) AS keep_id FROM d GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM d JOIN g USING (norm)
+"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    turn = "list_reduce([xor(acc, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    octets = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, lambda acc, b: {turn}), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """CTEs of the tree over ``nodes`` (g, pos, h, n): all nodes, and each one's siblings and parent."""
+    return f"""
+    {name} AS (
+      SELECT g, 0 AS lvl, pos, h, n FROM ({nodes}) UNION ALL
+      SELECT g, lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM {name} WHERE n > 1 GROUP BY g, lvl, pos // 8, n),
+    {name}_s AS (
+      SELECT a.g, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+             coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+      FROM {name} a JOIN {name} b ON a.g IS NOT DISTINCT FROM b.g AND a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL)"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE d AS (
+      SELECT row_number() OVER () AS rid, doc_id, lang, sha256({"||".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+             CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+                  THEN sha256({"||".join(map(_field, ("doc_id", "source", "lang", "n_chars", f"translate(text, {_LOWER})")))}) END AS suspect FROM documents),
+    p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+    {_tree("low", "SELECT lang AS g, pos, leaf AS h, n FROM p")},
+    sub AS (SELECT g AS lang, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS place FROM low WHERE n = 1),
+    {_tree("high", "SELECT 0 AS g, place AS pos, subroot AS h, count(*) OVER () AS n FROM sub")},
+    up AS (
+      SELECT rid, lang AS g, 0 AS lvl, pos, coalesce(suspect, leaf) AS h, '' AS proof FROM p UNION ALL
+      SELECT rid, u.g, u.lvl + 1, u.pos // 8, sha256(l || h || r), proof || l || r
+      FROM up u JOIN low_s s ON u.g IS NOT DISTINCT FROM s.g AND u.lvl = s.lvl AND u.pos = s.pos),
+    far AS (
+      SELECT rid, 0 AS lvl, place AS pos, h, proof FROM (SELECT rid, g, arg_max(h, lvl) AS h, arg_max(proof, lvl) AS proof FROM up GROUP BY rid, g)
+        JOIN sub ON lang IS NOT DISTINCT FROM g UNION ALL
+      SELECT rid, u.lvl + 1, u.pos // 8, sha256(l || h || r), proof || l || r FROM far u JOIN high_s s ON u.lvl = s.lvl AND u.pos = s.pos),
+    ends AS (SELECT rid, arg_max(h, lvl) AS folded_root, arg_max(proof, lvl) AS proof FROM far GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM p JOIN sub ON sub.lang IS NOT DISTINCT FROM p.lang JOIN ends USING (rid), (SELECT h AS root FROM high WHERE n = 1)
+"""
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE dealt AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fate FROM conversations),
+    d AS (
+      SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+             CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM (SELECT *, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM dealt WHERE fate <> 0)),
+    placed AS (
+      SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+             left(role, 1) AS x, lag(left(role, 1)) OVER w AS before, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(strlen(role) || ':' || role || text))),
+    r AS (
+      SELECT *, CASE WHEN last = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+    counts AS (
+      SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (before IS NOT NULL AND before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+    step(q, x, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    given(q, role, q2) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+    -- up to two inserted turns before a row and behind the last one; more of them never pay
+    ins(q, q2, cost, audit, said) AS (
+      SELECT q, q, 0, '', []::VARCHAR[] FROM given UNION ALL SELECT q, q2, 3, 'I', [role || ':'] FROM given UNION ALL
+      SELECT a.q, b.q2, 6, 'II', [a.role || ':', b.role || ':'] FROM given a JOIN given b ON a.q2 = b.q),
+    edit AS (
+      SELECT conv_id, i, q, q AS q2, 4 AS cost, 'D' AS audit, []::VARCHAR[] AS said FROM r, (SELECT DISTINCT q FROM given) UNION ALL
+      SELECT conv_id, i, q, q2, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', [role || ':' || text] FROM r JOIN step USING (x) WHERE fault IN ('', 'truncated') UNION ALL
+      SELECT conv_id, i, q, q2, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R', [g.role || ':' || text] FROM r, given g WHERE fault IN ('', 'truncated')),
+    way AS (
+      SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0, 'audit': '', 'said': []::VARCHAR[]}} AS b FROM counts UNION ALL
+      SELECT e.conv_id, e.i, e.q2, min({{'cost': w.b.cost + v.cost + e.cost, 'audit': w.b.audit || v.audit || e.audit, 'said': w.b.said || v.said || e.said}})
+      FROM way w JOIN ins v ON w.q = v.q JOIN edit e ON w.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = w.i + 1 AND e.q = v.q2 GROUP BY e.conv_id, e.i, e.q2),
+    done AS (
+      SELECT c.conv_id, min({{'cost': w.b.cost + v.cost, 'audit': w.b.audit || v.audit, 'said': w.b.said || v.said}}) AS b
+      FROM way w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n JOIN ins v ON w.q = v.q WHERE v.q2 IN (0, 3) GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(CAST(b.cost AS BIGINT), 0) AS cost, coalesce(b.audit, '') AS audit,
+       sha256(coalesce(array_to_string(b.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done ON o.conv_id IS NOT DISTINCT FROM done.conv_id
+"""
