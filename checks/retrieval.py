@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import evaluation as V
+from ledgerlens.operators import postings as L
 from ledgerlens.operators import search as S
 from ledgerlens.operators import vectors as D
 from ledgerlens.operators.context import ANSWER_HEAD
@@ -260,19 +261,44 @@ PROBED_SQL = f"""
     QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) <= {K}"""
 
 
+def quantised(spark, d):
+    """How many of the exact best a search over quantised vectors finds; its queries are each tenth vector, moved a bit."""
+    corpus = view(spark, d, "doc_vectors")
+    moved = F.transform("embedding", lambda x, i: x.cast("double") + F.sin(i.cast("double")) * 0.05)
+    queries = corpus.where("CAST(substr(chunk_id, 2) AS BIGINT) % 10 = 0").select(F.col("chunk_id").alias("query_id"), moved.alias("embedding"))
+    books = D.train_codebooks(corpus)
+    codes = D.quantised(corpus, books, new_folder(spark, "codes"))
+    near = D.quantised_topk(queries, codes, books, corpus, K)
+    exact = D.dense_topk(queries, corpus, K)
+    both = exact.join(near.select("query_id", "chunk_id", F.col("score").alias("near")), ["query_id", "chunk_id"], "left")
+    found = both.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_exact"), F.count("near").alias("n_found"))
+    return found.agg(
+        F.count(F.lit(1)).alias("n_queries"), F.sum("n_exact").alias("n_exact"), (F.sum("n_found") >= 0.9 * F.sum("n_exact")).alias("recall_reached")
+    )
+
+
+QUANTISED_SQL = f"""
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+      q AS (SELECT 'd' || vec_id AS query_id, list_transform(e, lambda x, i: x + sin(i - 1) * 0.05) AS w FROM v WHERE vec_id % 10 = 0),
+      hits AS (SELECT query_id FROM q CROSS JOIN v
+               QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(w, e), 6) DESC, 'd' || vec_id) <= {K})
+    SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS recall_reached FROM hits"""
+
+
 def retrieve(mode: str):
     vectors = mode != "FULL_TEXT"
     return lambda s, d: S.retrieve(_queries(s, d, vectors), _index(s, d, vectors), K, mode=mode)
 
 
 def full_text_joined(spark, d):
-    """The join that takes over when the query terms are too many to be sent to all tasks."""
-    return S.full_text_topk(_queries(spark, d), _index(spark, d), K, max_terms=0)
+    """Slices of 16 chunks, of which one is searched before the others are bounded."""
+    index = S.build_index(view(spark, d, "corpus"), text_col="chunk_text", vector=None, slice_bits=4)
+    return S.full_text_topk(_queries(spark, d), index, K, lead=1)
 
 
 def term_stats(spark, d):
-    lexical = S.lexical_rows(view(spark, d, "corpus"), "chunk_text")
-    posted = S.postings(lexical)
+    lexical = L.lexical_rows(view(spark, d, "corpus"), "chunk_text")
+    posted = L.postings(lexical)
     return posted.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"), F.max("dl").alias("longest")
     )
@@ -395,9 +421,10 @@ QUERIES = {
     "full_text_topk": (retrieve("FULL_TEXT"), sql("SELECT * FROM full_text")),
     "full_text_topk_joined": (full_text_joined, sql("SELECT * FROM full_text")),
     "dense_topk": (dense(), sql("SELECT * FROM prototype_hits")),
-    "dense_topk_sharded": (dense(query_bytes=2048, shard_rows=100), sql("SELECT * FROM prototype_hits")),
+    "dense_topk_sharded": (dense(block_rows=3), sql("SELECT * FROM prototype_hits")),
     "dense_topk_text": (retrieve("DENSE"), sql("SELECT * FROM dense")),
     "probed_topk": (probed, sql(f"SELECT * FROM ({PROBED_SQL})")),
+    "quantised_recall": (quantised, sql(f"SELECT * FROM ({QUANTISED_SQL})")),
     "hybrid_topk": (retrieve("HYBRID"), sql("SELECT * FROM fused")),
     "filtered_rewrites": (rewrites, sql(REWRITES_SQL)),
     "evaluate_answers": (evaluated, sql(EVALUATED_SQL)),
