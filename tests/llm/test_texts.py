@@ -83,6 +83,14 @@ def test_contamination(spark):
     assert {r.n_hit for r in contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def test_contamination_splits_a_text_once_a_pass(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    judged = contamination(docs, spark.read.parquet(f"{SF_DIR}/benchmark.parquet"), carry=docs.columns)
+    plan = judged.where("NOT contaminated").select("row.*")._jdf.queryExecution().optimizedPlan().toString()
+    # one for the words that meet the prefixes, one for the words that are compared
+    assert plan.count("split(") <= 2
+
+
 def test_contamination_of_capital_sigma(spark):
     upper, small = "\u039f\u0394\u039f\u03a3", "\u03bf\u03b4\u03bf\u03c2"
     docs = spark.createDataFrame([(1, f"{upper}.AB"), (2, f"{upper}'ab"), (3, f"{upper} AB"), (4, f"{small} ab")], "doc_id long, text string")
