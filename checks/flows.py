@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import payload as P
 from ledgerlens.operators import context as N
 from ledgerlens.operators import evaluation as V
+from ledgerlens.operators import maintenance as M
 from ledgerlens.operators import search as S
 from ledgerlens.operators.embedding import hash_embedding
 from ledgerlens.plans.answering import find_companies
@@ -15,7 +16,7 @@ from ledgerlens.session import new_folder
 from ledgerlens.sources import replica as R
 from ledgerlens.streaming import sync
 
-from . import ranking, texts
+from . import ranking, retrieval, silver, texts
 from .views import sources, table, view, with_views
 
 
@@ -60,6 +61,33 @@ def company_search(spark, d):
     return rows.select("query_id", "pos", "company_id", "company_name", "score", "investor_ranking")
 
 
+#: The build, the hybrid search over its table, and the company rows, chained.
+COMPANY_CTES = {
+    **texts.CTES, **retrieval.CTES,
+    "src": "SELECT company_id AS id, semantic_text AS t FROM sem_text",
+    "corpus": f"""
+        SELECT c.chunk_id, c.company_id, c.chunk_index, c.chunk_text, {silver.SEARCHED} AS search_text,
+               m.company_name, i.best_investor_rank
+        FROM chunked c LEFT JOIN latest_deal m ON c.company_id = m.company_id
+        LEFT JOIN vertical_set v ON c.company_id = v.company_id
+        LEFT JOIN keyword_set k ON c.company_id = k.company_id
+        LEFT JOIN inv_summary i ON m.deal_id = i.deal_id
+        WHERE m.company_id IS NOT NULL OR c.company_id NOT IN (SELECT company_id FROM market_trends)""",
+    "doc_tokens": f"SELECT chunk_id, {retrieval.TOKENS.format('search_text')} AS ts FROM corpus",
+    "rescored": f"""
+        SELECT c.query_id, c.chunk_id, c.pos, c.score AS index_score, k.company_id, k.chunk_index, k.company_name, k.best_investor_rank,
+               len(list_intersect(a, list_distinct({retrieval.TOKENS.format('k.chunk_text')}))) / len(a) AS s
+        FROM candidates c JOIN asked USING (query_id) JOIN corpus k ON k.chunk_id = c.chunk_id
+        QUALIFY row_number() OVER (PARTITION BY c.query_id ORDER BY s DESC, pos) <= 10""",
+}
+COMPANY_SQL = with_views("""
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY first) AS INT) AS pos, company_id, best.name AS company_name, score,
+           CASE WHEN best.rank IS NULL THEN 'Undefined' WHEN best.rank <= 2 THEN 'High' WHEN best.rank <= 5 THEN 'Medium' ELSE 'Low' END AS investor_ranking
+    FROM (SELECT query_id, company_id, min(p3) AS first, max(index_score) AS score,
+                 arg_max({'name': company_name, 'rank': best_investor_rank}, {'score': index_score, 'place': -p3}) AS best
+          FROM context10 GROUP BY 1, 2)""", **COMPANY_CTES)
+
+
 def judgments_csv(spark, d):
     """Judgments written as CSV, read back and cleaned."""
     path = new_folder(spark, "judgments")
@@ -98,6 +126,47 @@ SYNCED_SQL = with_views("""
     WHERE coalesce(_fivetran_deleted, false) = false""")
 
 
+def index_synced(spark, d):
+    """Term counts of an index that follows its documents: all of them, then amended, deleted and late ones."""
+    docs = view(spark, d, "corpus").select(F.col("chunk_id").alias("company_id"), "chunk_text", "lang")
+    drops, root, path = (new_folder(spark, name) for name in ("documents", "synced", "index"))
+    gone, at = F.col("deleted").alias(R.DELETED), F.to_timestamp("at").alias(R.SYNCED)
+    turns = [
+        docs.withColumns({"deleted": F.lit(False), "at": F.lit("2024-01-02")}),
+        docs.where("lang <> 'en'").withColumns({"chunk_text": F.concat("chunk_text", F.lit(" amended "), "lang"), "deleted": F.lit(False), "at": F.lit("2024-01-04")}),
+        docs.where("length(chunk_text) < 300").withColumns({"deleted": F.lit(True), "at": F.lit("2024-01-03")}),
+        docs.withColumns({"chunk_text": F.lit("late"), "deleted": F.lit(False), "at": F.lit("2024-01-01")}),
+    ]
+    for turn in turns:
+        turn.select("company_id", "chunk_text", gone, at).coalesce(1).write.mode("append").parquet(drops)
+
+    def build(rows):
+        return rows.select(F.col("company_id").alias("chunk_id"), "company_id", "chunk_text", hash_embedding(F.col("chunk_text")).alias("embedding"))
+
+    def follow(parents, rows):
+        M.update_index(rows, path, parents=parents, parent="company_id", text_col="chunk_text", fields=["company_id"])
+
+    sync.run_available(
+        spark, drops, spark.read.parquet(drops).schema, root, new_folder(spark, "progress"), "company_id", build, files_per_batch=1, on_batch=follow
+    )
+    M.merge_segments(spark, path, fields=["company_id"])
+    rows = sync.current_rows(spark, root, "company_id")
+    index = S.open_index(rows, path, fields=["company_id"])
+    terms = index.terms.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+    vectors = index.dense.agg(F.count(F.lit(1)).alias("n_vectors"))
+    return terms.crossJoin(F.broadcast(index.stats.select("n_docs", "n_tokens"))).crossJoin(F.broadcast(vectors))
+
+
+INDEX_SQL = with_views(r"""
+    SELECT * FROM (WITH now AS (
+      SELECT chunk_id, chunk_text || CASE WHEN lang <> 'en' THEN ' amended ' || lang ELSE '' END AS t FROM corpus
+      WHERE length(chunk_text) >= 300 OR lang <> 'en'),
+    words AS (SELECT chunk_id, list_filter(string_split_regex(lower(t), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ts FROM now),
+    sums AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_tokens, count(*) AS n_vectors FROM words)
+    SELECT term, count(*) AS df, n_docs, n_tokens, n_vectors
+    FROM (SELECT chunk_id, unnest(list_distinct(ts)) AS term FROM words), sums GROUP BY ALL)""")
+
+
 def merged_filters(spark, d):
     """Caller filters for theme and country; the extracted theme wins."""
     rows = texts._answers(spark, d)
@@ -139,13 +208,14 @@ OVERLAP_SQL = r"""
 
 QUERIES = {
     "build_tables": (built, BUILT_SQL),
-    "company_search": (company_search, None),
+    "company_search": (company_search, COMPANY_SQL),
     "judgments_csv": (judgments_csv, ranking.sql("SELECT * FROM judged")),
     "predictions_csv": (
         predictions_csv,
         ranking.QUERIES["evaluation_predictions"][1],
     ),
     "incremental_sync": (synced, SYNCED_SQL),
+    "index_sync": (index_synced, INDEX_SQL),
     "merged_filters": (merged_filters, MERGED_SQL),
     "model_scores": (
         model_scores,

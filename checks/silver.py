@@ -8,6 +8,7 @@ from ledgerlens.operators import gold as G
 from ledgerlens.operators import investors as I
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import semantic_text as S
+from ledgerlens.session import new_folder
 from ledgerlens.sources import replica as R
 
 from .views import sources, table, view, with_views
@@ -279,6 +280,18 @@ def upsert(spark, d):
     return R.upsert_by_key(target, changes, ["company_id"])
 
 
+def upsert_in_place(spark, d):
+    """The same changes to a table kept by key, of which only the touched buckets are written anew."""
+    path = new_folder(spark, "keyed")
+    target = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("company_id"), F.col("c_acctbal").alias("amount")
+    )
+    R.write_keyed(target, path, ["company_id"], buckets=8)
+    changes = latest_changes(spark, d).select("company_id", F.col("deal_size").alias("amount"), "_fivetran_deleted")
+    R.upsert_keyed(spark, path, changes, ["company_id"])
+    return R.read_keyed(spark, path)
+
+
 UPSERT_SQL = f"""
     SELECT CAST(c_custkey AS STRING) AS company_id, c_acctbal AS amount FROM customer
     WHERE CAST(c_custkey AS STRING) NOT IN (SELECT company_id FROM market_trends)
@@ -337,4 +350,5 @@ QUERIES = {
     "quality_checks": (quality_rows, sql(QUALITY_SQL)),
     "latest_changes": (latest_changes, sql(LATEST_SQL)),
     "upsert_by_key": (upsert, sql(UPSERT_SQL)),
+    "upsert_keyed": (upsert_in_place, sql(UPSERT_SQL)),
 }

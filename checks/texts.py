@@ -12,6 +12,7 @@ from ledgerlens.operators import context as N
 from ledgerlens.operators import embedding as E
 from ledgerlens.operators import semantic_text as S
 from ledgerlens.operators import understanding as U
+from ledgerlens.session import new_folder
 
 from .silver import CTES as SILVER
 from .views import sources, table, view, with_views
@@ -181,6 +182,17 @@ def batch_vectors(spark, d):
     )
 
 
+def resumed_vectors(spark, d):
+    """Vectors in two runs: of the chunks of long documents, then of all that are missing."""
+    chunks, path = view(spark, d, "doc_chunks"), new_folder(spark, "vectors")
+    E.embed_missing(chunks.where("chunk_index > 0"), path, _make_counter, "counter")
+    rows = E.embed_missing(chunks, path, _make_counter, "counter", waves=2)
+    return rows.select(
+        "chunk_id", "company_id", "chunk_index", "embedding_endpoint",
+        F.array_join(F.transform("embedding", lambda x: x.cast("int")), ",").alias("vector"),
+    )
+
+
 BATCH_SQL = """
     SELECT chunk_id, company_id, chunk_index, 'counter' AS embedding_endpoint,
            length(chunk_text) || ',' || (length(chunk_text) - length(replace(chunk_text, ' ', ''))) || ','
@@ -361,6 +373,7 @@ QUERIES = {
     ),
     "hash_embedding": (hash_vectors, sql(HASH_RESULT, **HASH_SQL)),
     "batch_embedding": (batch_vectors, sql(BATCH_SQL)),
+    "resumed_embedding": (resumed_vectors, sql(BATCH_SQL)),
     "embedding_profile": (
         embedding_profile,
         sql("""SELECT count(*) AS n_rows, count(DISTINCT chunk_id) AS n_chunks,

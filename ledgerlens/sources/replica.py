@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import durable
+from .snapshots import current, publish
 
 DELETED = "_fivetran_deleted"
 SYNCED = "_fivetran_synced"
@@ -91,6 +97,59 @@ def upsert_by_key(
     return kept.unionByName(live_rows(changes, True, deleted).select(*target.columns))
 
 
+BUCKETS = 64
+
+
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(df: DataFrame, folder: str, key: Sequence[str], buckets: int) -> None:
+    df.withColumn("_bucket", _bucket(key, buckets)).repartition("_bucket").write.partitionBy("_bucket").parquet(folder)
+
+
+def write_keyed(df: DataFrame, path: str, key: Sequence[str], buckets: int = BUCKETS) -> None:
+    """Write ``df`` as a table by key below ``path``: a folder per bucket of keys, published together.
+
+    ``buckets`` holds for all later upserts; choose it so that a bucket is a few files.
+    """
+    folder = f"{path}/{uuid.uuid4().hex}"
+    _write_buckets(df, folder, key, buckets)
+    layout = [("schema", df.schema.json()), ("buckets", str(buckets))]
+    publish(df.sparkSession, path, [*layout, *((f"bucket {b}", f"{folder}/_bucket={b}") for b in _filled(df.sparkSession, folder))])
+
+
+def _filled(spark: SparkSession, folder: str) -> list[int]:
+    """Buckets that a write has filled; at most as many as there are buckets."""
+    if spark.read.schema("_bucket int").parquet(folder).isEmpty():
+        return []
+    return sorted(r["_bucket"] for r in spark.read.parquet(folder).select("_bucket").distinct().collect())
+
+
+def read_keyed(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
+    """The newest version of a table by key, or its buckets ``only``."""
+    entries = dict(current(spark, path))
+    schema = T.StructType.fromJson(json.loads(entries["schema"]))
+    folders = [p for kind, p in entries.items() if kind.startswith("bucket ") and (only is None or int(kind.split()[1]) in only)]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def upsert_keyed(spark: SparkSession, path: str, changes: DataFrame, key: Sequence[str], deleted: str = DELETED) -> None:
+    """Apply one change row per key to a table by key, rewriting the buckets of the changed keys only.
+
+    The new buckets are written beside the old ones and published together with the untouched folders, which
+    keep their names: readers see all changes or none.
+    """
+    entries = dict(current(spark, path))
+    buckets = int(entries["buckets"])
+    changes = durable(changes)
+    touched = [r[0] for r in changes.select(_bucket(key, buckets)).distinct().collect()]
+    folder = f"{path}/{uuid.uuid4().hex}"
+    _write_buckets(upsert_by_key(read_keyed(spark, path, touched), changes, key, deleted), folder, key, buckets)
+    kept = [(kind, p) for kind, p in entries.items() if not (kind.startswith("bucket ") and int(kind.split()[1]) in touched)]
+    publish(spark, path, [*kept, *((f"bucket {b}", f"{folder}/_bucket={b}") for b in _filled(spark, folder))])
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """Full refresh; the new schema replaces the old one."""
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)

@@ -11,6 +11,7 @@ from ledgerlens.operators import quality as Q
 from ledgerlens.operators import semantic_text as S
 from ledgerlens.operators.chunking import chunk
 from ledgerlens.sources import replica as R
+from ledgerlens.sources.snapshots import current
 from ledgerlens.streaming import sync
 
 FLAG = R.DELETED
@@ -199,3 +200,70 @@ def test_sync_equals_rebuild(spark, tmp_path):
     # A batch that runs twice changes nothing.
     sync.write_batch(spark.createDataFrame(drops[2], schema), 2, root, "company_id", chunk, ["semantic_text"])
     assert sync.current_rows(spark, root, "company_id").count() == 3
+
+
+def test_sync_stopped_before_its_version(spark, tmp_path, monkeypatch):
+    """Readers see a batch whole or not at all; a batch that is run again is published once."""
+    schema = f"company_id string, semantic_text string, {FLAG} boolean, {R.SYNCED} timestamp"
+    root, at = str(tmp_path / "out"), lambda n: dt.datetime(2024, 1, n)
+    first = spark.createDataFrame([("a", "one", False, at(1)), ("b", "two", False, at(1))], schema)
+    second = spark.createDataFrame([("a", "new\n\n" + "x" * 90, False, at(2)), ("b", "gone", True, at(2))], schema)
+
+    def texts():
+        return sorted(r["chunk_text"] for r in sync.current_rows(spark, root, "company_id").collect())
+
+    sync.write_batch(first, 0, root, "company_id", chunk)
+
+    def stopped(*args):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sync, "publish", stopped)
+        with pytest.raises(RuntimeError, match="stopped"):
+            sync.write_batch(second, 1, root, "company_id", chunk)
+    assert texts() == ["one", "two"]
+    for _ in range(2):
+        sync.write_batch(second, 1, root, "company_id", chunk)
+        assert texts() == ["new\n\n" + "x" * 90]
+    assert len([k for k, _ in current(spark, root) if k == "rows"]) == 2
+
+
+def test_sync_restarts_from_batch_0(spark, tmp_path):
+    """A new progress folder counts its batches from 0 again and leaves the old ones alone; compaction keeps what counts."""
+    schema = f"company_id string, semantic_text string, {FLAG} boolean, {R.SYNCED} timestamp"
+    root, at = str(tmp_path / "out"), lambda n: dt.datetime(2024, 1, n)
+    drops = {
+        "first": [("a", "one", False, at(1)), ("b", "two", False, at(5)), ("c", "sea", False, at(1))],
+        "second": [("a", "uno", False, at(2)), ("b", "late", False, at(3)), ("c", "sea", True, at(2))],
+        "third": [("b", "later", False, at(4)), ("c", "older", False, at(1)), ("d", "new", False, at(1))],
+    }
+    for name, rows in drops.items():
+        df = spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        sync.run_available(spark, str(tmp_path / name), df.schema, root, str(tmp_path / f"progress-{name}"), "company_id", chunk)
+        if name == "second":
+            sync.compact(spark, root, "company_id")
+            assert len(current(spark, root)) == 2
+    got = sorted((r["company_id"], r["chunk_text"]) for r in sync.current_rows(spark, root, "company_id").collect())
+    assert got == [("a", "uno"), ("b", "two"), ("d", "new")]
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    path, rows = str(tmp_path / "keyed"), {f"k{i}": i for i in range(200)}
+    R.write_keyed(spark.createDataFrame(list(rows.items()), "k string, v int").repartition(5), path, ["k"], buckets=16)
+    before = dict(current(spark, path))
+    changes = [("k7", 70, False), ("k8", 80, True), ("new", 1, None)]
+    R.upsert_keyed(spark, path, spark.createDataFrame(changes, f"k string, v int, {FLAG} boolean"), ["k"])
+    rows = {k: v for k, v in rows.items() if k != "k8"} | {"k7": 70, "new": 1}
+    assert sorted(map(tuple, R.read_keyed(spark, path).collect())) == sorted(rows.items())
+    after = dict(current(spark, path))
+    assert 1 <= sum(before[b] != after.get(b) for b in before) <= 3 and set(before) <= set(after)
+    # A bucket that loses its last row, and a table that does.
+    gone = spark.createDataFrame([(k, v, True) for k, v in rows.items()], f"k string, v int, {FLAG} boolean")
+    R.upsert_keyed(spark, path, gone, ["k"])
+    assert R.read_keyed(spark, path).count() == 0
+    R.upsert_keyed(spark, path, spark.createDataFrame([("z", 3, None)], f"k string, v int, {FLAG} boolean"), ["k"])
+    assert [tuple(r) for r in R.read_keyed(spark, path).collect()] == [("z", 3)]
+    empty = str(tmp_path / "empty")
+    R.write_keyed(spark.createDataFrame([], "k string, v int"), empty, ["k"])
+    assert R.read_keyed(spark, empty).columns == ["k", "v"]
