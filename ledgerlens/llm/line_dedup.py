@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.text import let
 from ledgerlens.session import durable
 
 LEAST_WORDS = 8
@@ -150,29 +151,35 @@ def _covered(spans: list[int]) -> Iterator[int]:
         upto = max(upto, end)
 
 
+def _kept(gone: set[int], n: int) -> list[dict[str, int]]:
+    """Runs of lines that stay of ``n``."""
+    ends = [-1, *sorted(gone), n]
+    return [{"at": a + 1, "n": b - a - 1} for a, b in zip(ends, ends[1:]) if b > a + 1]
+
+
 def _aligned(least: int):
-    """Removed lines of each document, whose rows (one for each partner) follow each other."""
+    """Removed lines and kept runs of each document, whose rows (one for each partner) follow each other."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, gone, own, sizes, done = None, set(), [], [], []
 
         def finished() -> pa.RecordBatch:
-            rows = [(*key, sorted(g)) for key, g in done if g]
+            rows = [(*key, len(g), _kept(g, n)) for key, g, n in done if g]
             done.clear()
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
-            return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["doc_id", "version", "removed"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())])))
+            return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["doc_id", "version", "removed", "kept"])
 
         for batch in batches:
             for doc, version, lines, words, spans, partner in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (doc, version) != current:
                     if current:
-                        done.append((current, gone))
+                        done.append((current, gone, len(own)))
                     current, gone, own, sizes = (doc, version), set(), lines, words
                 if not all(i in gone for i in _covered(spans)):
                     gone.update(common_blocks(own, partner, sizes, least))
             yield finished()
         if current:
-            done.append((current, gone))
+            done.append((current, gone, len(own)))
         yield finished()
 
     return align
@@ -216,14 +223,15 @@ def dedup_lines(docs: DataFrame, *, least_words: int = LEAST_WORDS) -> DataFrame
     pairs = named.join(partners, "holder").join(sized, ["doc_id", "version"])
     rows = pairs.repartition("doc_id").sortWithinPartitions("doc_id", "version", "rarity", "holder")
     removed = rows.select("doc_id", "version", "lines", "sizes", "spans", "partner").mapInArrow(
-        _aligned(least_words), "doc_id long, version long, removed array<int>"
+        _aligned(least_words), "doc_id long, version long, removed int, kept array<struct<at:int,n:int>>"
     )
     # names that no column of the documents has
-    of, at, gone = (F.col(f"line_dedup.{c}") for c in removed.columns)
+    of, at, gone, runs = (F.col(f"line_dedup.{c}") for c in removed.columns)
     order = [c for c in docs.columns if c.lower() != "lines_removed"]
     joined = docs.alias("documents").join(removed.alias("line_dedup").hint("shuffle_hash"), (F.col("documents.doc_id") == of) & (F.xxhash64("documents.text") == at), "left")
     text = F.col("documents.text")
-    left = F.array_join(F.filter(_lines(text), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    # Runs of lines are cut out, which takes time by the lines, not by lines and removed lines.
+    left = let(_lines(text), lambda lines: F.array_join(F.flatten(F.transform(runs, lambda r: F.slice(lines, r["at"] + 1, r["n"]))), "\n"))
     kept = F.when(gone.isNull() | text.isNull(), text).otherwise(left).alias("text")
     columns = [kept if c.lower() == "text" else F.col(f"documents.`{c}`") for c in order]
-    return joined.select(*columns, F.coalesce(F.size(gone), F.lit(0)).alias("lines_removed"))
+    return joined.select(*columns, F.coalesce(gone, F.lit(0)).alias("lines_removed"))

@@ -211,6 +211,24 @@ def test_dedup_lines_against_all_earlier_holders(spark):
         assert got[i] == "\n".join(x for k, x in enumerate(own) if k not in gone), i
 
 
+def test_dedup_lines_of_very_long_texts(spark):
+    """Twice the lines take about twice the time."""
+    import time
+
+    def took(n):
+        text = "\n".join(f"line {i} of a long text that two documents share but for one" for i in range(n))
+        rows = [(1, text), (2, "own head of the second text, of its own words alone\n" + text.replace("line 7 ", "row 7 "))]
+        df = spark.createDataFrame(rows, DOCS).cache()
+        df.count()
+        start = time.perf_counter()
+        got = {r.doc_id: (r.lines_removed, len(r.text.split("\n"))) for r in dedup_lines(df).collect()}
+        assert got == {1: (0, n), 2: (n - 1, 2)}
+        return time.perf_counter() - start
+
+    took(2000)
+    assert took(80_000) < 3 * took(40_000) + 1
+
+
 def test_dedup_lines_odd_rows(spark):
     line = "a line of eight words that comes again"
     rows = [(None, line, "x", "v"), (4, line, None, "v"), (4, line + "\nmore", "x", "v"), (6, "head\n\n" + line, "x", None)]
