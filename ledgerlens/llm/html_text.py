@@ -5,6 +5,8 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -23,14 +25,14 @@ RAW = frozenset("script style noscript template svg iframe textarea title".split
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr option".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
-    re.S,
-)
+NAME_END = re.compile(r"[\s/>]")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
 
 
+DEEPEST = 200  # levels of elements that mark what lies inside them
+
+
 @dataclass
 class Block:
     text: str
@@ -45,6 +47,7 @@ class Paths:
     parent: list[int] = field(default_factory=lambda: [0])
     marks: list[tuple[str, ...]] = field(default_factory=lambda: [()])
     tag: list[str] = field(default_factory=lambda: [""])
+    level: list[int] = field(default_factory=lambda: [0])
     known: dict[tuple[int, str, str], int] = field(default_factory=dict)
     sums: dict[int, np.ndarray] = field(default_factory=dict)
 
@@ -57,15 +60,81 @@ class Paths:
             self.known[key] = len(self.tag)
             self.parent.append(path)
             self.tag.append(tag)
-            self.marks.append(tuple(dict.fromkeys((*self.marks[path], *own))))
+            self.level.append(self.level[path] + 1)
+            deep = self.level[path] >= DEEPEST
+            self.marks.append(self.marks[path] if deep else tuple(dict.fromkeys((*self.marks[path], *own))))
         return self.known[key]
 
 
+class Tags:
+    """Tags, comments and declarations of a page, found in one pass forward.
+
+    A tag ends at the first ``>`` outside quotes, at the first one at all if its quotes don't close, or with the
+    page. Where quotes close and no free ``>`` follows is remembered, so that no part is looked at twice
+    however broken the page is.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.places = {mark: [m.start() for m in re.finditer(mark, page)] for mark in ">\"'"}
+        self.dead: set[int] = set()
+
+    def ahead(self, mark: str, at: int) -> int:
+        places = self.places[mark]
+        i = bisect_left(places, at)
+        return places[i] if i < len(places) else self.size
+
+    def unquoted(self, at: int) -> int:
+        """Place of the first ``>`` outside quotes; the size of the page for none."""
+        seen = []
+        while at not in self.dead:
+            seen.append(at)
+            end, opens = self.ahead(">", at), min(self.ahead('"', at), self.ahead("'", at))
+            if end < opens:
+                return end
+            closes = self.size if opens == self.size else self.ahead(self.page[opens], opens + 1)
+            if closes == self.size:
+                break
+            at = closes + 1
+        self.dead.update(seen)
+        return self.size
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str]:
+        """(start, end, closing, name, attributes) of the next one; the name is empty for what is no tag."""
+        page, start = self.page, self.page.find("<", at)
+        while start >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, self.size if end < 0 else end + 3, False, "", ""
+            closing = page.startswith("/", start + 1)
+            begin = start + 1 + closing
+            letter = page[begin : begin + 1]
+            if letter.isascii() and letter.isalpha():
+                stop = NAME_END.search(page, begin)
+                stop = stop.start() if stop else self.size
+                end = self.unquoted(stop)
+                end = self.ahead(">", stop) if end == self.size else end
+                if end < self.size:
+                    return start, end + 1, closing, page[begin:stop], page[stop:end]
+                return start, self.size, False, "", ""
+            if closing or page[begin : begin + 1] in ("!", "?"):
+                return start, min(self.size, self.ahead(">", start) + 1), False, "", ""
+            start = page.find("<", start + 1)
+        return self.size, self.size, False, "", ""
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """Behind the closing tag of an element whose content is no markup, or the end of the page."""
+        close = re.compile(rf"</{tag}\b", re.I).search(self.page, at)
+        end = self.ahead(">", close.end()) if close else self.size
+        return min(self.size, end + 1)
+
+
 def leaf_blocks(page: str, paths: Paths) -> list[Block]:
     """Runs of text between block-level tags, with references decoded and white space collapsed."""
     out: list[Block] = []
     stack, pieces = [0], []
-    link = depth = silent = at = 0
+    open_: Counter[str] = Counter()
+    tags, link, depth, silent, at = Tags(page), 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal link
@@ -82,17 +151,13 @@ def leaf_blocks(page: str, paths: Paths) -> list[Block]:
             link += len(text) if depth else 0
 
     while at < len(page):
-        token = TOKEN.search(page, at)
-        if token is None:
-            add(page[at:])
-            break
-        if token.start() > at:
-            add(page[at : token.start()])
-        at = token.end()
-        name = token[2] or token[5]
+        start, end, closing, name, attributes = tags.after(at)
+        if start > at:
+            add(page[at:start])
+        at = end
         if not name:
             continue
-        tag, closing = name.lower(), bool(token[1] or token[4])
+        tag = name.lower()
         if tag in INLINE:
             depth = (0 if closing else 1) if tag == "a" else depth
             continue
@@ -106,25 +171,26 @@ def leaf_blocks(page: str, paths: Paths) -> list[Block]:
         if closing:
             flush()
             depth = 0
-            if any(paths.tag[p] == tag for p in stack):
-                while paths.tag[stack[-1]] != tag:
-                    silent -= paths.tag[stack[-1]] in SILENT
-                    stack.pop()
-                silent -= tag in SILENT
-                stack.pop()
+            while open_[tag]:
+                inner = paths.tag[stack.pop()]
+                silent -= inner in SILENT
+                open_[inner] -= 1
+                if inner == tag:
+                    break
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = tags.raw_end(tag, at)
             continue
         flush()
         depth = 0
         if tag == "body":
             silent, stack = 0, [p for p in stack if paths.tag[p] not in SILENT]
+            open_ = Counter(paths.tag[p] for p in stack[1:])
         top = paths.tag[stack[-1]]
         if (top == "p" and tag in ENDS_P) or (top in LEAVES and top == tag):
-            stack.pop()
-        stack.append(paths.below(stack[-1], tag, token[3] or token[6] or ""))
+            open_[paths.tag[stack.pop()]] -= 1
+        stack.append(paths.below(stack[-1], tag, attributes))
+        open_[tag] += 1
         silent += tag in SILENT
     flush()
     return out

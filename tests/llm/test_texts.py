@@ -64,6 +64,34 @@ def test_reputation_shrinks_small_hosts(spark):
     assert host_reputation(spark.createDataFrame([], "host string, bad int")).count() == 0
 
 
+def test_broken_pages_take_time_by_their_length():
+    import time
+
+    def took(mark, n):
+        start = time.perf_counter()
+        H.leaf_blocks("".join(mark.replace("#", str(i)) for i in range(n)), H.Paths())
+        return time.perf_counter() - start
+
+    for mark in ("<a", "<a \">\" ", "</script", "<div><p></b#>", "<div class=a#>", "<a '", "<!--", "<script></script"):
+        assert took(mark, 100_000) < 4 * took(mark, 50_000) + 0.5, mark
+
+
+def test_tags_of_broken_pages():
+    def tags(page):
+        found, reader, at = [], H.Tags(page), 0
+        while at < len(page):
+            start, end, closing, name, attributes = reader.after(at)
+            if start < len(page):
+                found.append((page[start:end], closing, name, attributes))
+            at = end
+        return found
+
+    assert tags("a<b c='>'>d</b >e") == [("<b c='>'>", False, "b", " c='>'"), ("</b >", True, "b", " ")]
+    assert tags("<a x='1>y<i>z") == [("<a x='1>", False, "a", " x='1"), ("<i>", False, "i", "")]
+    assert tags("1 < 2 <3 <!x>y<!-- <p> -->z<p") == [("<!x>", False, "", ""), ("<!-- <p> -->", False, "", ""), ("<p", False, "", "")]
+    assert tags("</>x<?y>") == [("</>", False, "", ""), ("<?y>", False, "", "")] and tags("") == []
+
+
 # decontamination
 
 def test_contamination(spark):
