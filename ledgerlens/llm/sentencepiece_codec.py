@@ -10,7 +10,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .hashing import slices
@@ -90,7 +93,7 @@ def build(model: bytes, prefix: bool = True):
 
 
 class Codec:
-    """Encodes texts and tells whether their ids decode to them.
+    """Encodes texts, tells whether their ids decode to them and are those of the sentencepiece library, and decodes ids.
 
     Where a model leaves texts as they are and has no piece that crosses the start of a word, a
     text is encoded word by word (a word with the spaces before it), and each distinct word is
@@ -105,7 +108,12 @@ class Codec:
         self.lead = " " if spec.add_dummy_prefix else ""
         self.library = build(model, prefix=not self.by_word)
         self.leads = np.array([p.type == NORMAL and p.piece.startswith(SPACE) for p in pieces])
-        self.remembered, self.ids, self.lossy = remembered, {}, set()
+        self.remembered, self.ids, self.lossy, self.odd = remembered, {}, set(), set()
+        self.other = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.whole = build(model)
+        single = build(model, prefix=False).decode_batch([[i] for i in range(len(pieces))], skip_special_tokens=False)
+        self.texts = np.array(single, object)
+        self.octets = np.array([p.type == BYTE for p in pieces])
 
     def _learn(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -127,30 +135,48 @@ class Codec:
         ids, same = self._learn(alone)
         self.ids.update(zip(alone, ids, strict=True))
         self.lossy.update(w for w, ok in zip(alone, same, strict=True) if not ok)
+        led = [w for w in words if w.startswith(self.lead) and SPACE not in w]
+        self.odd.update(set(words).difference(led))
+        self.odd.update(w for w, x in zip(led, self.other.encode([w[len(self.lead) :] for w in led]), strict=True) if x != self.ids[w])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
-        """Flat ids, the texts' offsets in them, and round trips."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], list[bool]]:
+        """Flat ids, the texts' offsets in them, round trips, and whether the sentencepiece library gives the same ids."""
         if not self.by_word:
             ids, same = self._learn(texts)
             flat = np.fromiter(chain.from_iterable(ids), np.int32)
-            return flat, np.cumsum([0, *map(len, ids)]), same
+            return flat, np.cumsum([0, *map(len, ids)]), same, [x == y for x, y in zip(ids, self.other.encode(texts), strict=True)]
         words = [WORD.findall(self.lead + t) if t else [] for t in texts]
         if len(self.ids) > self.remembered:
-            self.ids, self.lossy = {}, set()
+            self.ids, self.lossy, self.odd = {}, set(), set()
         self._remember(list(set(chain.from_iterable(words)).difference(self.ids)))
         parts = [list(chain.from_iterable(map(self.ids.__getitem__, w))) for w in words]
         same = [self.lossy.isdisjoint(w) for w in words] if self.lossy else [True] * len(words)
+        alike = [self.odd.isdisjoint(w) or p == self.other.encode(t) for w, p, t in zip(words, parts, texts, strict=True)]
         flat = np.concatenate([np.array(p, np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
-        return flat, np.cumsum([0, *map(len, parts)]), same
+        return flat, np.cumsum([0, *map(len, parts)]), same, alike
+
+    def decode(self, flat: np.ndarray, at: np.ndarray) -> list[str]:
+        """Texts of the ids between offsets; ids that the model doesn't have stand for nothing.
+
+        What an id stands for has been asked from the library once; texts with byte pieces are given to it whole.
+        """
+        known = (flat >= 0) & (flat < len(self.texts))
+        flat, at = flat[known], np.concatenate(([0], np.cumsum(known)))[at]
+        octets = np.concatenate(([0], np.cumsum(self.octets[flat])))
+        out = ["".join(self.texts[flat[a:b]]) for a, b in zip(at[:-1], at[1:], strict=True)]
+        if self.lead:
+            out = [t.removeprefix(" ") for t in out]
+        mixed = [i for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if octets[b] > octets[a]]
+        for i, text in zip(mixed, self.whole.decode_batch([flat[at[i] : at[i + 1]].tolist() for i in mixed], skip_special_tokens=False), strict=True):
+            out[i] = text
+        return out
 
 
 def differing(model: bytes, texts: list[str]) -> list[str]:
     """Texts whose ids differ from those of the sentencepiece library, by either way of encoding."""
-    import sentencepiece
-
     other = sentencepiece.SentencePieceProcessor(model_proto=model).encode(texts)
     whole = [e.ids for e in build(model).encode_batch(texts, add_special_tokens=False)]
-    flat, at, _ = Codec(model).encode(texts)
+    flat, at, _, _ = Codec(model).encode(texts)
     parts = [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
     return [t for t, x, y, z in zip(texts, other, whole, parts, strict=True) if not x == y == z]
 
@@ -163,12 +189,13 @@ def _worker(model: bytes, threads: int) -> Codec:
 
 
 def encode(docs: DataFrame, model_path: str, *, threads: int = 2, batch_bytes: int = 1 << 20) -> DataFrame:
-    """All columns of ``docs`` (with text) that don't clash, and ids, n_tokens, round_trip.
+    """All columns of ``docs`` (with text) that don't clash, and ids, n_tokens, round_trip, parity.
 
     ``ids`` are the token ids of the whole text, without special tokens; ``round_trip`` tells
     whether they decode to exactly the text (a text with the space marker itself, U+2581, does
-    not). A null text counts as empty: no ids, and it round-trips. Every row gives one row; an
-    empty table gives none. Columns already named ids, n_tokens or round_trip are replaced.
+    not), ``parity`` whether the sentencepiece library gives the same ids. A null text counts as empty: no
+    ids, and it round-trips. Every row gives one row; an empty table gives none. Columns already named ids,
+    n_tokens, round_trip or parity are replaced.
 
     The driver reads the model, checks that its rebuilt form agrees with the sentencepiece library on
     fixed probes, and sends it to the tasks; a task encodes slices of about ``batch_bytes``
@@ -179,17 +206,42 @@ def encode(docs: DataFrame, model_path: str, *, threads: int = 2, batch_bytes: i
     if wrong := differing(model, list(PROBES)):
         raise ValueError(f"the rebuilt model differs from the original on {wrong[:3]!r}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name.lower() not in ("ids", "n_tokens", "round_trip")]
-    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("ids", "n_tokens", "round_trip", "parity")]
+    flags = [T.StructField(c, T.BooleanType()) for c in ("round_trip", "parity")]
+    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()), *flags])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _worker(shared.value, threads)
         for part in slices(batches, "text", batch_bytes):
             texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
-            flat, at, same = codec.encode(texts)
+            flat, at, same, alike = codec.encode(texts)
             ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
             columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
-            extra = [ids, pa.array(np.diff(at).astype(np.int64)), pa.array(same, pa.bool_())]
+            extra = [ids, pa.array(np.diff(at).astype(np.int64)), pa.array(same, pa.bool_()), pa.array(alike, pa.bool_())]
             yield pa.record_batch([*columns, *extra], [f.name for f in schema.fields])
 
     return docs.select(*dict.fromkeys([f.name for f in kept])).mapInArrow(run, schema)
+
+
+def decode(rows: DataFrame, model_path: str, *, ids: str = "ids", out: str = "decoded", threads: int = 2) -> DataFrame:
+    """All columns of ``rows`` and the text that the token ids in ``ids`` stand for, in ``out`` (replaced if there).
+
+    A null list gives a null text, an empty one an empty text; null ids and ids that the model doesn't have stand for
+    nothing; bytes that are no UTF-8 become U+FFFD. Every row gives one row, an empty table none. No shuffle.
+    """
+    with open(model_path, "rb") as file:
+        shared = rows.sparkSession.sparkContext.broadcast(file.read())
+    kept = [f for f in rows.schema.fields if f.name.lower() != out.lower()]
+    schema = T.StructType([*kept, T.StructField(out, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _worker(shared.value, threads)
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            at = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))))
+            texts = pa.array(codec.decode(flat, at), pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+            yield pa.record_batch([*batch.columns[:-1], texts], schema.names)
+
+    columns = [F.col(f"`{f.name}`") for f in kept]
+    return rows.select(*columns, F.col(f"`{ids}`").cast("array<int>").alias("_ids")).mapInArrow(run, schema)

@@ -1,8 +1,11 @@
 """Operators on single texts, pages and urls, and the registered queries with their SQL."""
 
+import random
+
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import rows as sorted_rows
@@ -253,7 +256,8 @@ def test_parity_and_round_trip(model):
     parts = ["a", "the", "\n", " ", "  ", " " * 37, "é", "▁", "x.", "\t", "<s>", "漢", "\U0001f600"]
     texts = ["".join(rng.choice(parts, 25)) for _ in range(800)]
     assert SP.differing(model, texts) == []
-    _, _, same = SP.Codec(model).encode(texts)
+    _, _, same, alike = SP.Codec(model).encode(texts)
+    assert all(alike)
     assert same == ["▁" not in t for t in texts]
 
 
@@ -290,14 +294,50 @@ def test_unigram_scores_and_byte_fallback():
 def test_encode(spark, model):
     df = spark.createDataFrame([(None, None, 1), (2, "", 2), (3, "Été à  la plage", 3), (3, "word " * 20_000, 4)], "doc_id long, text string, ids int")
     out = SP.encode(df, SENTENCEPIECE_MODEL)
-    assert out.columns == ["doc_id", "text", "ids", "n_tokens", "round_trip"]
+    assert out.columns == ["doc_id", "text", "ids", "n_tokens", "round_trip", "parity"]
     got = out.collect()
-    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got)
+    assert all(r.round_trip and r.parity and r.n_tokens == len(r.ids) for r in got)
     expected = SP.build(model).encode_batch([r.text or "" for r in got], add_special_tokens=False)
     assert [r.ids for r in got] == [e.ids for e in expected]
     assert SP.encode(df.limit(0), SENTENCEPIECE_MODEL).count() == 0
 
 
+def test_decode(spark):
+    """Texts come back; any ids, byte pieces among them, decode as the sentencepiece library decodes them."""
+    import sentencepiece
+
+    texts = [None, "", " two  spaces ", "Été \U0001f600 漢字", "x" * 3000, "tab\tand\nline"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("decoded", F.lit(1))
+    out = SP.decode(SP.encode(df, SENTENCEPIECE_MODEL), SENTENCEPIECE_MODEL)
+    assert out.columns == ["doc_id", "text", "ids", "n_tokens", "round_trip", "parity", "decoded"]
+    assert {r.doc_id: r.decoded for r in out.collect()} == {i: t or "" for i, t in enumerate(texts)}
+    library = sentencepiece.SentencePieceProcessor(model_file=SENTENCEPIECE_MODEL)
+    rng, size = random.Random(5), library.get_piece_size()
+    usual = [i for i in range(size) if not library.is_control(i) and not library.is_byte(i) and not library.is_unknown(i)]
+    smile = library.encode("\U0001f600")
+    lists = [[rng.choice(usual) for _ in range(rng.randrange(1, 30))] + (smile if i % 3 else []) for i in range(60)]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lists)] + [(60, None), (61, []), (62, [usual[7], size + 5, None, -1])], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.decoded for r in SP.decode(rows, SENTENCEPIECE_MODEL).collect()}
+    assert [got[i] for i in range(60)] == library.decode(lists)
+    assert (got[60], got[61], got[62]) == (None, "", library.decode([usual[7]]))
+    assert SP.decode(rows.limit(0), SENTENCEPIECE_MODEL).count() == 0
+
+
+def test_parity_tells_other_ids():
+    with open(SENTENCEPIECE_MODEL, "rb") as file:
+        codec = SP.Codec(file.read())
+    real = codec.other.encode
+
+    class Other:
+        """A library that cuts one word in another way."""
+
+        def encode(self, texts):
+            return [self.encode(t) for t in texts] if isinstance(texts, list) else [1] if "plage" in texts else real(texts)
+
+    codec.other = Other()
+    assert codec.encode(["a la plage", "a la mer", "▁own marker", ""])[3] == [False, True, True, True]
+
+
 # pipeline
 
 def test_pipeline(spark):
