@@ -16,6 +16,8 @@ from .hashing import bitmap, blocks, gathered, in_bitmap, set_keys, shingle_sets
 
 SHINGLE = 5
 MATCHES = 4
+HOT = 16  # nodes of a token beyond which its leaders are asked again
+ROUNDS = 3
 SKETCH = 1 << 22
 #: Shingles that a document of n shingles posts when it asks for l matches.
 PREFIX = "least(n{0}, n{0} - (3 * n{0} + 3) div 4 + l{0})"
@@ -120,6 +122,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = durable(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     chosen = durable(rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node"))
+    for end in ("a", "b"):
+        pairs = pairs.join(chosen.select(F.col("node").alias(end), F.col("doc_id").alias(f"doc_{end}")), end)
     seen = docs.sparkSession.sparkContext.broadcast(bitmap(chosen.select("doc_id")))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,9 +145,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
                     good[i] = 100 * common >= 75 * (len(p) + len(q) - common)
                 yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(good))
 
-    texts = docs.select("doc_id", "text").mapInArrow(likely, "doc_id long, text string").join(chosen, "doc_id").select("node", "text")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+    texts = docs.select("doc_id", "text").mapInArrow(likely, "doc_id long, text string")
+    # The same exchange of texts by id serves both sides, as long as nothing is renamed below it.
+    one, two = texts.alias("one"), texts.alias("two")
+    both = pairs.join(one, F.col("doc_a") == F.col("one.doc_id")).join(two, F.col("doc_b") == F.col("two.doc_id"))
+    both = both.select("a", "b", F.col("one.text").alias("text_a"), F.col("two.text").alias("text_b"))
     return both.mapInArrow(links, "a long, b long")
 
 
@@ -157,35 +163,71 @@ def _enough() -> Column:
     return F.expr(f"matches >= least(l, l2) AND 7 * (matches + {rest}) >= 3 * (n + n2)")
 
 
-def _led(shared: DataFrame) -> DataFrame:
-    """(a, b): every node with the leaders that most of its tokens name, one of each kind.
+def _led(labelled: DataFrame, leaders: DataFrame) -> DataFrame:
+    """(a, b, matches, part, part2): every node with the leaders that most of its tokens name, one of each kind.
 
-    Members of a large group of near copies are mostly similar to both, which makes one component
-    of them without their pairs.
+    ``leaders`` has two nodes for each of some tokens (token, leader, last). Members of a large group of near
+    copies are mostly similar to some of them, which makes one component of them without their pairs.
     """
     pairs = None
     for kind in ("leader", "last"):
-        named = shared.where(f"node <> {kind}").groupBy("node", F.col(kind).alias("node2")).count()
+        named = labelled.join(leaders.select("token", F.col(kind).alias("node2")), "token").where("node <> node2").groupBy("node", "node2").count()
         best = named.groupBy("node").agg(F.max(F.struct("count", "node2")).alias("best")).select("node", "best.node2")
         pairs = best if pairs is None else pairs.union(best)
-    own = pairs.distinct().join(shared.select("node", "token", "n", "l"), "node")
-    other = shared.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l")))
-    met = own.join(other, ["token", "node2"]).groupBy("node", "node2").agg(
-        F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2"))
+    own = pairs.distinct().join(labelled.select("node", "token", "n", "l", "part"), "node")
+    other = labelled.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "part")))
+    met = own.join(other, ["token", "node2"]).where("part <> part2").groupBy("node", "node2").agg(
+        F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2", "part", "part2"))
     )
-    return met.where(_enough()).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    ends = (F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+    return met.where(_enough()).select(*ends, "matches", "part", "part2").dropDuplicates(["a", "b"])
+
+
+def _one_for_parts(pairs: DataFrame) -> DataFrame:
+    """The pair with the most matches for each two parts."""
+    sides = [F.least("part", "part2").alias("p"), F.greatest("part", "part2").alias("q")]
+    return pairs.groupBy(*sides).agg(F.max(F.struct("matches", "a", "b")).alias("best")).select("best.a", "best.b", "p", "q")
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """The postings of tokens that nodes of several parts have; no others can link parts."""
+    tokens = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
+    return labelled.join(tokens, "token")
+
+
+def _joined_by_leaders(labelled: DataFrame, rows: DataFrame, docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """Postings whose parts are put together by further leaders, drawn anew in each round, and the links found.
+
+    Only tokens of more than ``HOT`` nodes name leaders: near copies about as similar as the threshold
+    link with a share of them, so the nodes outside their group's part shrink by that share in every
+    round, before any two of them meet on a token. Whatever is left is for the crossing.
+    """
+    links = None
+    for turn in range(1, ROUNDS + 1):
+        order = F.xxhash64("node", F.lit(turn))
+        leaders = labelled.groupBy("token").agg(F.min_by("node", order).alias("leader"), F.max_by("node", order).alias("last"), F.count(F.lit(1)).alias("nodes"))
+        leaders = stored(leaders.where(F.col("nodes") > HOT), f"{folder}/leaders-{turn}")
+        if leaders.isEmpty():
+            break
+        pairs = stored(_one_for_parts(_led(labelled, leaders)), f"{folder}/led-{turn}")
+        found = durable(_verified(pairs.select("a", "b"), rows, docs))
+        if found.isEmpty():
+            break
+        links = found if links is None else links.union(found)
+        moved = components(pairs.join(found, ["a", "b"]).select(F.col("p").alias("a"), F.col("q").alias("b"))).withColumnRenamed("node", "part")
+        labelled = labelled.join(durable(moved), "part", "left").withColumn("part", F.coalesce("component", "part")).drop("component")
+        labelled = stored(_mixed(labelled), f"{folder}/parts-{turn}")
+    return labelled, links
 
 
 def _crossing(labelled: DataFrame) -> DataFrame:
     """(a, b, matches, part, part2): pairs of nodes of different parts that may link."""
-    mixed = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("token")
-    left = labelled.join(mixed, "token")
-    right = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "place", "part")))
+    right = labelled.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "l", "place", "part")))
     possible = F.expr(
         "node < node2 AND part <> part2 AND 4 * least(n, n2) >= 3 * greatest(n, n2) AND "
         "7 * (least(place, place2) + 1 + least(n - place, n2 - place2) - 1) >= 3 * (n + n2)"
     )
-    met = left.join(right, "token").where(possible).groupBy("node", "node2").agg(
+    met = labelled.join(right, "token").where(possible).groupBy("node", "node2").agg(
         F.count(F.lit(1)).alias("matches"), *(F.max(c).alias(c) for c in ("n", "l", "n2", "l2", "part", "part2"))
     )
     return met.where(_enough()).select(F.col("node").alias("a"), F.col("node2").alias("b"), "matches", "part", "part2")
@@ -205,21 +247,25 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     texts), then by hash. A document posts a prefix that is longer, and asks for as many shared
     tokens more, where the estimated lists are long. Copies are one node. Tokens of one node go.
     First a node is compared with two leaders (smallest and largest node of most of its tokens), which
-    joins large groups of near copies without their pairs; then only nodes of different
-    components that share a token meet, under bounds by length, position, number of matches and
+    joins large groups of near copies without their pairs; where tokens of many nodes are left, further rounds
+    with other leaders join more of them; then only nodes of different components that share a token meet, under bounds by length, position, number of matches and
     what the prefixes leave, and of those first one pair for each two components. Every pair is
     verified on its texts.
     """
     rows, sketch = _scan(docs)
     folder = new_folder(docs.sparkSession, "jaccard_join")
     shared = stored(_shared(docs, sketch), f"{folder}/shared")
-    links = durable(_verified(_led(shared), rows, docs))
-    labelled = shared.drop("leader", "last").join(durable(components(links)), "node", "left")
-    labelled = stored(labelled.withColumn("part", F.coalesce("component", "node")).drop("component"), f"{folder}/parts")
+    leaders = shared.groupBy("token").agg(F.first("leader").alias("leader"), F.first("last").alias("last"))
+    shared = shared.drop("leader", "last")
+    led = _led(shared.withColumn("part", F.col("node")), leaders).select("a", "b")
+    links = durable(_verified(led, rows, docs))
+    labelled = shared.join(durable(components(links)), "node", "left")
+    labelled = stored(_mixed(labelled.withColumn("part", F.coalesce("component", "node")).drop("component")), f"{folder}/parts")
+    labelled, more = _joined_by_leaders(labelled, rows, docs, folder)
+    links = links if more is None else durable(links.union(more))
     met = stored(_crossing(labelled), f"{folder}/met")
     # one pair for each two parts first: where it links, the others need not be looked at
-    sides = [F.least("part", "part2").alias("p"), F.greatest("part", "part2").alias("q")]
-    first = met.groupBy(*sides).agg(F.max(F.struct("matches", "a", "b")).alias("best")).select("best.a", "best.b")
+    first = _one_for_parts(met).select("a", "b")
     links = durable(links.union(_verified(first, rows, docs)))
     merged = durable(components(links))
     for end in ("a", "b"):
