@@ -127,6 +127,8 @@ def manifest(
     """
     folder = new_folder(docs.sparkSession, "merkle_manifest")
     leaves = docs.select(F.col(key).alias("_key"), F.col(group).alias("_group"), leaf_digest(*(F.col(c) for c in columns)).alias("digest"), *(F.col(c).alias(f"_c_{c}") for c in carry))
+    # Written first: finding the ranges reads them too, and would read the texts again.
+    leaves = stored(leaves, f"{folder}/digests")
     kept = ["_key", *(f"_c_{c}" for c in carry)]
     placed = with_positions(leaves, ["_group"], ["_key", "digest"], f"{folder}/leaves")
     blocks = _climbed(placed, ["_group"], kept, f"{folder}/groups")
