@@ -134,6 +134,8 @@ def faults(rows: DataFrame) -> DataFrame:
     short = rows.select(
         "conv_id", "turn", role.alias("role"), _digest(role, text).alias("digest"), F.substr(role, F.lit(1), F.lit(1)).alias("initial"), own.alias("fault")
     )
+    # Written first: finding the ranges reads them too, and would read the texts again.
+    short = stored(short, f"{folder}/short")
     placed = stored(with_positions(short, ["conv_id"], ["turn", "role", "digest"], folder), f"{folder}/placed")
     again = placed.groupBy(F.col("conv_id").alias("c"), F.col("digest").alias("d")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("times"))
     again = stored(again.where("times > 1").drop("times"), f"{folder}/again")
