@@ -67,6 +67,19 @@ def test_reputation_shrinks_small_hosts(spark):
     assert host_reputation(spark.createDataFrame([], "host string, bad int")).count() == 0
 
 
+def test_reputation_decides_pages_without_a_rule(spark):
+    rows = [(f"http://bad.spam.org/{i}", 1) for i in range(80)] + [(f"http://worse.spam.org/{i}", 1) for i in range(60)]
+    rows += [(f"http://big.fine.org/{i}", 0) for i in range(200)] + [("http://new.spam.org/x", None), ("http://new.fine.org/x", None), ("http://bad.spam.org/en/y", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, bad int")
+    got = filter_urls(df, [Rule("bad.spam.org", "/en/", "allow")], bad=F.col("bad"))
+    verdicts = {(r.host, r.rule, r.verdict): r["count"] for r in got.groupBy("host", "rule", "verdict").count().collect()}
+    bound = {r.host: r.bound for r in got.select("host", "bound").distinct().collect()}
+    assert verdicts[("bad.spam.org", None, "block")] == 80 and verdicts[("worse.spam.org", None, "block")] == 60
+    assert verdicts[("big.fine.org", None, "allow")] == 200 and verdicts[("bad.spam.org", "bad.spam.org/en/", "allow")] == 1
+    for host in ("new.spam.org", "new.fine.org"):
+        assert verdicts[(host, None, "block" if bound[host] > 0.25 else "allow")] == 1
+
+
 def test_broken_pages_take_time_by_their_length():
     import time
 
