@@ -17,7 +17,7 @@ from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
 from .merkle_manifest import COLUMNS, folded, leaf_digest, manifest, path_digest
 from .sampling import held_out
-from .sentencepiece_codec import decode, encode
+from .sentencepiece_codec import encode
 from .suffix_dedup import remove_repeats
 from .url_reputation import Rule, ascii_lower, filter_urls
 
@@ -85,9 +85,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, whether they are those of the sentencepiece library, and whether they decode to it."""
     encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), SENTENCEPIECE_MODEL)
-    back = decode(encoded, SENTENCEPIECE_MODEL)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return back.select("doc_id", "n_tokens", "round_trip", "parity", same.alias("decoded_same"), "ids")
+    return encoded.select("doc_id", "n_tokens", "round_trip", "parity", "ids")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,7 +93,7 @@ def build(model: bytes, prefix: bool = True):
 
 
 class Codec:
-    """Encodes texts, tells whether their ids decode to them and are those of the sentencepiece library, and decodes ids.
+    """Encodes texts, and tells whether their ids decode to them and are those of the sentencepiece library.
 
     Where a model leaves texts as they are and has no piece that crosses the start of a word, a
     text is encoded word by word (a word with the spaces before it), and each distinct word is
@@ -110,10 +110,6 @@ class Codec:
         self.leads = np.array([p.type == NORMAL and p.piece.startswith(SPACE) for p in pieces])
         self.remembered, self.ids, self.lossy, self.odd = remembered, {}, set(), set()
         self.other = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.whole = build(model)
-        single = build(model, prefix=False).decode_batch([[i] for i in range(len(pieces))], skip_special_tokens=False)
-        self.texts = np.array(single, object)
-        self.octets = np.array([p.type == BYTE for p in pieces])
 
     def _learn(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -155,19 +151,27 @@ class Codec:
         flat = np.concatenate([np.array(p, np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
         return flat, np.cumsum([0, *map(len, parts)]), same, alike
 
-    def decode(self, flat: np.ndarray, at: np.ndarray) -> list[str]:
-        """Texts of the ids between offsets; ids that the model doesn't have stand for nothing.
 
-        What an id stands for has been asked from the library once; texts with byte pieces are given to it whole.
-        """
+class Decoder:
+    """Texts of ids; what an id stands for is asked from the library once, texts with byte pieces are given to it whole."""
+
+    def __init__(self, model: bytes) -> None:
+        proto = _proto(model)
+        self.library = build(model)
+        single = build(model, prefix=False).decode_batch([[i] for i in range(len(proto.pieces))], skip_special_tokens=False)
+        self.texts = np.array(single, object)
+        self.octets = np.array([p.type == BYTE for p in proto.pieces])
+        self.lead = " " if proto.normalizer_spec.add_dummy_prefix else ""
+
+    def decode(self, flat: np.ndarray, at: np.ndarray) -> list[str]:
+        """Texts of the ids between offsets; ids that the model doesn't have stand for nothing."""
         known = (flat >= 0) & (flat < len(self.texts))
         flat, at = flat[known], np.concatenate(([0], np.cumsum(known)))[at]
         octets = np.concatenate(([0], np.cumsum(self.octets[flat])))
         out = ["".join(self.texts[flat[a:b]]) for a, b in zip(at[:-1], at[1:], strict=True)]
-        if self.lead:
-            out = [t.removeprefix(" ") for t in out]
+        out = [t.removeprefix(self.lead) for t in out]
         mixed = [i for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if octets[b] > octets[a]]
-        for i, text in zip(mixed, self.whole.decode_batch([flat[at[i] : at[i + 1]].tolist() for i in mixed], skip_special_tokens=False), strict=True):
+        for i, text in zip(mixed, self.library.decode_batch([flat[at[i] : at[i + 1]].tolist() for i in mixed], skip_special_tokens=False), strict=True):
             out[i] = text
         return out
 
@@ -182,10 +186,10 @@ def differing(model: bytes, texts: list[str]) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def _worker(model: bytes, threads: int) -> Codec:
+def _worker(kind: type, model: bytes, threads: int) -> Codec | Decoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ["RAYON_NUM_THREADS"] = str(threads)
-    return Codec(model)
+    return kind(model)
 
 
 def encode(docs: DataFrame, model_path: str, *, threads: int = 2, batch_bytes: int = 1 << 20) -> DataFrame:
@@ -211,7 +215,7 @@ def encode(docs: DataFrame, model_path: str, *, threads: int = 2, batch_bytes: i
     schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()), *flags])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _worker(shared.value, threads)
+        codec = _worker(Codec, shared.value, threads)
         for part in slices(batches, "text", batch_bytes):
             texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
             flat, at, same, alike = codec.encode(texts)
@@ -235,7 +239,7 @@ def decode(rows: DataFrame, model_path: str, *, ids: str = "ids", out: str = "de
     schema = T.StructType([*kept, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _worker(shared.value, threads)
+        codec = _worker(Decoder, shared.value, threads)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
