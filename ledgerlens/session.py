@@ -66,7 +66,8 @@ def durable(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written as a table and read back: unlike a checkpoint its columns are read singly."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # With the schema at hand no job has to look for it in the files.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def plan_bytes(df: DataFrame) -> int:
