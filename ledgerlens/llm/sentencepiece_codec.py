@@ -122,17 +122,22 @@ class Codec:
         for w in words:
             (plain if PLAIN.fullmatch(w) else alone).append(w)
         rows = [plain[at : at + ROW] for at in range(0, len(plain), ROW)]
-        for row, ids, ok in zip(rows, *self._learn(["".join(r) for r in rows]), strict=True):
+        joined, doubtful = ["".join(r) for r in rows], []
+        others = self.other.encode([t[len(self.lead) :] for t in joined])
+        for row, ids, ok, other in zip(rows, *self._learn(joined), others, strict=True):
             starts = np.flatnonzero(self.leads[ids])
             if ok and len(starts) == len(row):
                 self.ids.update((w, ids[a:b]) for w, a, b in zip(row, starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True))
+                doubtful += row if ids != other else []
             else:
                 alone += row
         ids, same = self._learn(alone)
         self.ids.update(zip(alone, ids, strict=True))
         self.lossy.update(w for w, ok in zip(alone, same, strict=True) if not ok)
-        led = [w for w in words if w.startswith(self.lead) and SPACE not in w]
-        self.odd.update(set(words).difference(led))
+        # Rows that agree are settled; words of others are compared singly, and those without the lead with their text.
+        doubtful += alone
+        led = [w for w in doubtful if w.startswith(self.lead) and SPACE not in w]
+        self.odd.update(set(doubtful).difference(led))
         self.odd.update(w for w, x in zip(led, self.other.encode([w[len(self.lead) :] for w in led]), strict=True) if x != self.ids[w])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], list[bool]]:
