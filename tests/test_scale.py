@@ -41,3 +41,19 @@ def test_lists_are_made_where_chunks_are_read(spark):
     assert found == {("a", 1): (2, 2, 1, [(0, 2, 3), (2, 1, 1)]), ("b", 1): (1, 1, 3, [(0, 1, 3)]), ("a", 2): (1, 5, 5, [(0, 5, 5)])}
 
 
+def test_hash_vectors_of_many_rows(spark):
+    texts = ["Été été 42", "one two two", "...", None] + [f"w{i % 5} w{i % 3}" for i in range(1200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = df.select("i", hash_embedding(F.col("t"), 16).alias("v")).orderBy("i")
+    assert "ArrowEvalPython" in plan(got)
+
+    def vector(text):
+        n = [0.0] * 16
+        for t in re.findall(r"\w+", (text or "").lower()):
+            n[int(md5(t.encode()).hexdigest()[:8], 16) % 16] += 1
+        norm = math.sqrt(sum(x * x for x in n))
+        return [x / norm for x in n] if norm else None
+
+    assert [r["v"] for r in got.collect()] == [vector(t) for t in texts]
+
+
