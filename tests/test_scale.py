@@ -57,3 +57,24 @@ def test_hash_vectors_of_many_rows(spark):
     assert [r["v"] for r in got.collect()] == [vector(t) for t in texts]
 
 
+def test_company_text_is_made_before_its_labels_repeat_it(spark):
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    sources = {
+        "market_trends": frame([("c", "d", "France", None), ("e", None, None, None)], "company_id string, deal_id string, country string, region string"),
+        "deals_investors": frame([], "deal_id string, investors string, _fivetran_deleted boolean"),
+        "investors": frame([], "investor_name string, house_ranking int"),
+        "companies": frame([("c", " text ")], "company_id string, description string"),
+        "parsed_text": frame([], "id string, website_parsed_text string, website_summary string"),
+        "company_verticals": frame([("c", "v1"), ("c", None), ("e", "v2")], "company_id string, verticals string"),
+        "company_keywords": frame([("c", "k1"), ("c", " ")], "company_id string, keywords string"),
+        "taxonomy": frame([], "company_id string, theme string, main_category string, subcategory string, house_impact_framework string"),
+    }
+    text = T.semantic_text(sources, fanout="keep")
+    assert "_head" in plan(text)
+    head, tail = "Description: text", "Geography: France"
+    want = [("c", "\n\n".join(p for p in (head, v, k, tail) if p)) for v in ("Verticals: v1", None) for k in ("Keywords: k1", None)]
+    assert sorted(map(tuple, text.collect())) == sorted([*want, ("e", "Verticals: v2")])
+
+
