@@ -78,3 +78,17 @@ def test_company_text_is_made_before_its_labels_repeat_it(spark):
     assert sorted(map(tuple, text.collect())) == sorted([*want, ("e", "Verticals: v2")])
 
 
+def test_small_corpus_is_scanned_by_all_cores(spark, tmp_path, monkeypatch):
+    rows = [(f"c{i:03d}", [math.sin(i), math.cos(i), 1.0]) for i in range(200)]
+    spark.createDataFrame(rows, "chunk_id string, embedding array<double>").coalesce(1).write.parquet(str(tmp_path / "v"))
+    corpus = spark.read.parquet(str(tmp_path / "v"))
+    blocks = D._dealt(D.packed(corpus, "chunk_id", "embedding", [], size=5, prefix="c_"), corpus)
+    assert corpus.rdd.getNumPartitions() == 1 and sum(n > 0 for n in blocks.rdd.glom().map(len).collect()) > 4
+    queries = corpus.where("chunk_id < 'c040'").withColumnRenamed("chunk_id", "query_id")
+    hits = D.dense_topk(queries, corpus, 3, block_rows=5)
+    want = sorted(map(tuple, hits.collect()))
+    # A task may hold the hits of five queries: each pass meets a share of them, and none is lost.
+    monkeypatch.setattr(D, "HELD_HITS", 15)
+    assert sorted(map(tuple, D.dense_topk(queries, corpus, 3, block_rows=5).collect())) == want and len(want) == 120
+
+
