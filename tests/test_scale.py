@@ -92,3 +92,18 @@ def test_small_corpus_is_scanned_by_all_cores(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, D.dense_topk(queries, corpus, 3, block_rows=5).collect())) == want and len(want) == 120
 
 
+def test_documents_arrive_in_several_files(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i} " * 50, "en" if i % 2 else "fr", f"src{i % 3}", 400) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    files = []
+
+    def stop(spark, drops, *rest, **options):
+        files.append(len(spark.read.parquet(drops).inputFiles()))
+        raise InterruptedError
+
+    monkeypatch.setattr(flows.sync, "run_available", stop)
+    with pytest.raises(InterruptedError):
+        flows.index_synced(spark, str(tmp_path))
+    assert files[0] > 1
+
+
