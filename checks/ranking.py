@@ -9,7 +9,7 @@ from ledgerlens.operators import evaluation as V
 from ledgerlens.operators import ranking as K
 from ledgerlens.operators import results as C
 
-from ledgerlens.session import durable
+from ledgerlens.session import new_folder, stored
 
 from .views import table, view, with_views
 
@@ -122,12 +122,12 @@ def sql(text: str) -> str:
 
 
 def _arrived(spark, d):
-    return durable(K.arrival_hits(view(spark, d, "logged_hits")))
+    return stored(K.arrival_hits(view(spark, d, "logged_hits")), new_folder(spark, "arrived"))
 
 
 def _deduped(spark, d, limit=None):
     """Deduplicated lists, written once because the steps after them read them several times."""
-    return durable(K.dedupe_best(_arrived(spark, d), limit=limit))
+    return stored(K.dedupe_best(_arrived(spark, d), limit=limit), new_folder(spark, "deduped"))
 
 
 HIT = ("query_id", "pos", "chunk_id", "score", "parent", "chunk_index", "chunk_text")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
-from ..session import durable
+from ..session import new_folder, stored
 from ..sources.replica import read_csv, require_columns, require_rows
 from .skew import ordered_rank
 
@@ -136,7 +136,8 @@ def evaluate(
     """(per query, means, predictions) of hits against raw judgment rows; raises without any."""
     clean = require_rows(clean_judgments(judgments, split), "judgments")
     # Both are used several times below, and are far smaller than the judgment rows.
-    queries, judged = durable(judged_queries(clean)), durable(judged_chunks(clean))
+    folder = new_folder(judgments.sparkSession, "judged")
+    queries, judged = stored(judged_queries(clean), f"{folder}/queries"), stored(judged_chunks(clean), f"{folder}/chunks")
     per_query = per_query_metrics(hits, queries, judged, k=k, threshold=threshold)
     return (
         per_query,

@@ -116,3 +116,12 @@ def test_work_is_dealt_by_bytes(spark, tmp_path):
     assert session.spread_work(rows, "id").rdd.getNumPartitions() == cores
 
 
+def test_hit_lists_are_stored_by_column(spark, monkeypatch):
+    hits = spark.createDataFrame(
+        [("q", 1, 1, "a", 1.0, "p", 0, "x"), ("q", 1, 2, "a", 2.0, "p", 0, "y")],
+        "query_id string, rewrite_no int, hit_no int, chunk_id string, score double, parent string, chunk_index int, chunk_text string",
+    )
+    monkeypatch.setattr(ranking, "view", lambda *_: hits)
+    kept = ranking._deduped(spark, "")
+    assert "ExistingRDD" not in plan(kept) and len(kept.select("query_id", "pos").inputFiles()) > 0
+    assert [tuple(r) for r in kept.select(*ranking.HIT).collect()] == [("q", 1, "a", 2.0, "p", 0, "y")]
