@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import durable, new_folder, stored
+from ledgerlens.session import durable, fewer_tasks, new_folder, stored
 
 from .components import components
 from .hashing import bitmap, blocks, gathered, in_bitmap, set_keys, shingle_sets, slices, text_bytes
@@ -125,7 +125,7 @@ def _shared(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     """The postings of tokens that several nodes have."""
     tokens = _postings(docs, sketch).groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("last"))
     tokens = durable(tokens.where("least <> last").select("token"))
-    some = _postings(docs, sketch, bitmap(tokens))
+    some = _postings(docs, sketch, bitmap(fewer_tasks(tokens, tokens.count())))
     some = some.groupBy("token", "node").agg(*(F.max(c).alias(c) for c in ("n", "l", "place")))
     return some.join(tokens, "token")
 
@@ -136,11 +136,12 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
     A text is fetched once for each node, from its smallest doc_id, and only for nodes in a pair.
     """
     pairs = durable(pairs)
+    pairs = fewer_tasks(pairs, pairs.count())
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     chosen = durable(rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node"))
     for end in ("a", "b"):
         pairs = pairs.join(chosen.select(F.col("node").alias(end), F.col("doc_id").alias(f"doc_{end}")), end)
-    seen = docs.sparkSession.sparkContext.broadcast(bitmap(chosen.select("doc_id")))
+    seen = docs.sparkSession.sparkContext.broadcast(bitmap(fewer_tasks(chosen.select("doc_id"), chosen.count())))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,6 +14,7 @@ from ledgerlens.llm.embedding_dedup import near_vectors, table_plan
 from ledgerlens.llm.jaccard_join import prefix_matches, similar_documents
 from ledgerlens.llm.line_dedup import common_blocks, dedup_lines, patience
 from ledgerlens.llm.suffix_dedup import Levels, remove_repeats
+from ledgerlens.session import fewer_tasks
 
 DOCS = "doc_id long, text string"
 
@@ -72,6 +73,23 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_few_links_take_few_tasks(spark):
+    """However many partitions a shuffle has: a task, file and event of each would cost more than the links."""
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = components(spark.range(2000).selectExpr("id AS a", "id - id % 50 AS b"))
+        assert found.rdd.getNumPartitions() <= cores < 61
+        assert {(r.node, r.component) for r in found.collect()} == {(k, k - k % 50) for k in range(2000)}
+        assert fewer_tasks(spark.range(0, 1000, 1, 61), 40 * (cores + 1), 40).rdd.getNumPartitions() == cores + 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_similar_documents(spark, corpus):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_documents(spark.createDataFrame(corpus, DOCS).repartition(7)).collect()}
     sets = {i: shingles(t) for i, t in corpus}
