@@ -13,7 +13,7 @@ from ledgerlens.llm.components import components
 from ledgerlens.llm.embedding_dedup import near_vectors, table_plan
 from ledgerlens.llm.jaccard_join import prefix_matches, similar_documents
 from ledgerlens.llm.line_dedup import common_blocks, dedup_lines, patience
-from ledgerlens.llm.suffix_dedup import Levels, remove_repeats
+from ledgerlens.llm.suffix_dedup import KeyFilter, Levels, _repeated_keys, remove_repeats
 from ledgerlens.session import fewer_tasks
 
 DOCS = "doc_id long, text string"
@@ -189,6 +189,24 @@ def test_levels_grow_geometrically():
         assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
 
 
+def test_key_filter_grows_with_its_keys():
+    rng = np.random.default_rng(3)
+    for n in (1, 1000, 300_000):
+        keys = np.unique(rng.integers(0, 1 << 48, 3 * n, dtype=np.uint64))
+        held, others = keys[::2], keys[1::2]
+        found = KeyFilter(4, [(0, KeyFilter.part(others[:1])), (2, KeyFilter.part(held))])
+        there = np.full(len(held), 2)
+        assert found.holds(held, there).all() and not found.holds(held, np.ones(len(held), int)).any()
+        assert found.holds(others, there[: len(others)]).sum() <= 1 + 0.03 * len(others)
+
+
+def test_repeated_keys_have_a_part_of_the_filter_each(spark):
+    text = "".join(chr(97 + k % 26) + str(k) for k in range(400))
+    found = _repeated_keys(spark.createDataFrame([(1, text), (2, text + "!"), (3, "z".join(text[300:]))], DOCS), 8)
+    assert (found.size > 0).all() and 8 * len(found.bits) == found.size.sum() < 4000
+    assert not len(_repeated_keys(spark.createDataFrame([(1, text)], DOCS), 8).bits)
+
+
 def test_patience():
     assert patience([1, 2, 3], [1, 9, 3]) == [(0, 0), (2, 2)]
     assert patience([1, 2, 3, 4], [3, 1, 2, 4]) == [(0, 1), (1, 2), (3, 3)]
