@@ -1,10 +1,14 @@
 """Replicated sources, silver and gold tables, checks and incremental sync on hand-made rows."""
 
 import datetime as dt
+import time
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens import session
 from ledgerlens.operators import gold as G
 from ledgerlens.operators import investors as I
 from ledgerlens.operators import quality as Q
@@ -267,3 +271,41 @@ def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     empty = str(tmp_path / "empty")
     R.write_keyed(spark.createDataFrame([], "k string, v int"), empty, ["k"])
     assert R.read_keyed(spark, empty).columns == ["k", "v"]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_tables_are_small_and_shuffles_go(spark, tmp_path):
+    """A stage that is written leaves neither shuffle files nor tables in the default codec."""
+    before = shuffle_files(spark)
+    R.replace_path(spark.range(2000).withColumn("t", F.col("id").cast("string")).repartition(7, "id"), str(tmp_path / "t"))
+    made = shuffle_files(spark) - before
+    assert made
+    for _ in range(50):
+        session.release(spark)
+        if not made & shuffle_files(spark):
+            break
+        time.sleep(0.2)
+    assert not made & shuffle_files(spark)
+    part = next((tmp_path / "t").glob("part-*.parquet"))
+    assert pq.read_metadata(part).row_group(0).column(0).compression == "ZSTD"
+    kept = session.new_folder(spark, "gone")
+    session.stored(spark.range(3), kept)
+    session.remove(spark, kept)
+    assert not Path(kept.removeprefix("file:")).exists()
+
+
+def test_a_batch_keeps_no_copy_of_its_changes(spark, tmp_path):
+    at, root = dt.datetime(2024, 1, 1), str(tmp_path / "synced")
+    changes = spark.createDataFrame([("a", "x" * 50, False, at), ("b", "y", True, at)], f"company_id string, chunk_text string, {R.DELETED} boolean, {R.SYNCED} timestamp")
+    folder = Path(session.shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in folder.rglob("*") if p.name.startswith(("changes-", "rdd-"))}
+    plans = []
+    sync.write_batch(changes, 0, root, "company_id", lambda rows: rows.select("company_id", "chunk_text"), on_batch=lambda parents, rows: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()))
+    later = {p.name for p in folder.rglob("*") if p.name.startswith(("changes-", "rdd-"))} - before
+    assert not any(name.startswith("changes-") for name in later)
+    assert "Join" not in plans[0]  # every parent's newest change is here, so no text moves
+    assert [tuple(r) for r in sync.current_rows(spark, root, "company_id").collect()] == [("a", "x" * 50)]
